@@ -76,20 +76,21 @@ def rank_by_range(vocab: DataFrame, by: list[str]) -> DataFrame:
     ).drop("_part", "_id", "_first", "_before")
 
 
-def _code_columns(df: DataFrame, ranked: DataFrame, columns, suffix: str,
+def _code_columns(df: DataFrame, vocab: DataFrame, columns, suffix: str,
                   missing_is_category: bool = True) -> DataFrame:
+    ranked, small = _materialised(rank_categories(vocab))
     for c in columns:
         key = f"_k_{c}"
         codes = ranked.filter(F.col("column") == c).select(
             F.col("category").alias(key), F.col("code").alias(f"{c}{suffix}"))
         text = category_text(F.col(c)) if missing_is_category else F.col(c).cast("string")
-        df = lookup_join(df.withColumn(key, text), codes, key).drop(key)
+        df = lookup_join(df.withColumn(key, text), codes, key, pinned=small).drop(key)
     return df
 
 
 def label_encode(df: DataFrame, columns: list[str], suffix: str = "_code") -> DataFrame:
     """Codes by sorted order over the categories of train and test together."""
-    return _code_columns(df, rank_categories(vocabulary(df, columns)), columns, suffix)
+    return _code_columns(df, vocabulary(df, columns), columns, suffix)
 
 
 def category_codes(df: DataFrame, columns: list[str], suffix: str = "_code") -> DataFrame:
@@ -97,7 +98,7 @@ def category_codes(df: DataFrame, columns: list[str], suffix: str = "_code") ->
     present = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category"))
         for c in columns]))).filter(F.col("category").isNotNull()).distinct()
-    coded = _code_columns(df, rank_categories(present), columns, suffix, False)
+    coded = _code_columns(df, present, columns, suffix, False)
     return coded.withColumns({
         f"{c}{suffix}": F.coalesce(F.col(f"{c}{suffix}"), F.lit(-1)) for c in columns})
 
@@ -135,6 +136,13 @@ def _outside(values: str, f: int):
         F.lit(0.0), lambda acc, v: acc + v.cast("double"))
 
 
+def fold_table(df: DataFrame, columns: list[str], fold: str = "fold",
+               target: str = config.TARGET) -> DataFrame:
+    """`fold_counts` of the train rows, computed once: all per-fold encodings below can be
+    fitted from it by passing it as `counts`."""
+    return _materialised(fold_counts(train_rows(df), columns, fold, target))[0]
+
+
 def fold_target_maps(counts: DataFrame, k: int = config.N_FOLDS) -> tuple[DataFrame, list[float]]:
     """Leave-fold-out target means and their defaults.
 
@@ -145,43 +153,45 @@ def fold_target_maps(counts: DataFrame, k: int = config.N_FOLDS) -> tuple[DataFr
     maps = arrays.filter(F.col("category").isNotNull()).select(
         "column", "category", F.array(*[
             F.try_divide(_outside("s", f), _outside("n_y", f)) for f in range(k)]).alias("te"))
-    # Every column sees the same rows, so one column's counts give the overall means.
-    one = counts.agg(F.min("column")).first()[0]
-    sums = counts.filter(F.col("column") == one).groupBy("fold").agg(
+    # Every column sees the same rows, so any one column's sums give the overall means.
+    sums = counts.groupBy("column", "fold").agg(
         F.sum("n_y").alias("n"), F.sum("s").alias("s")).collect()
+    one = sums[0]["column"]
     defaults = []
     for f in range(k):
-        n = sum(r["n"] for r in sums if r["fold"] != f)
-        s = sum(r["s"] or 0.0 for r in sums if r["fold"] != f)
+        others = [r for r in sums if r["column"] == one and r["fold"] != f]
+        n, s = sum(r["n"] for r in others), sum(r["s"] or 0.0 for r in others)
         defaults.append(s / n if n else None)
     return maps, defaults
 
 
 def add_fold_target_encoding(df: DataFrame, columns: list[str], k: int = config.N_FOLDS,
                              fold: str = "fold", target: str = config.TARGET,
-                             suffix: str = "_te") -> DataFrame:
+                             suffix: str = "_te", counts: DataFrame | None = None) -> DataFrame:
     """`{c}_te`: array whose position f is the encoding fold model f must use.
 
     Train rows carry their fold in `fold`; test rows have it null. Nothing of fold f's own
     targets enters position f, so validation rows read position `fold`.
     """
-    maps, defaults = fold_target_maps(fold_counts(train_rows(df), columns, fold, target), k)
-    maps = _materialised(maps)
+    counts = fold_table(df, columns, fold, target) if counts is None else counts
+    maps, defaults = fold_target_maps(counts.filter(F.col("column").isin(list(columns))), k)
+    maps, small = _materialised(maps)
     fallback = F.array(*[F.lit(d).cast("double") for d in defaults])
     for c in columns:
         key, te = f"_k_{c}", f"{c}{suffix}"
         lookup = maps.filter(F.col("column") == c).select(
             F.col("category").alias(key), F.col("te").alias(te))
-        df = lookup_join(df.withColumn(key, F.col(c).cast("string")), lookup, key).drop(key)
+        df = lookup_join(df.withColumn(key, F.col(c).cast("string")), lookup, key,
+                         pinned=small).drop(key)
         df = df.withColumn(te, F.when(F.col(te).isNull(), fallback).otherwise(
             F.transform(te, lambda v, i: F.coalesce(v, F.get(fallback, i)))))
     return df
 
 
-def _materialised(table: DataFrame) -> DataFrame:
+def _materialised(table: DataFrame) -> tuple[DataFrame, bool]:
     """Small: pinned. Large: cut off from its inputs once, since every column reads it."""
     pinned = pin_small(table)
-    return cut_lineage(table) if pinned is None else pinned
+    return (cut_lineage(table), False) if pinned is None else (pinned, True)
 
 
 def explode_folds(df: DataFrame, te_columns: list[str], k: int = config.N_FOLDS,
@@ -202,29 +212,27 @@ def add_target_encoding(df: DataFrame, columns: list[str], target: str = config.
     """
     columns = [c for c in columns if c in df.columns]
     counts = fold_counts(train_rows(df).withColumn("_all", F.lit(0)), columns, "_all", target)
-    sums = _materialised(counts.groupBy("column", "category").agg(
-        F.sum("n_y").alias("n"), F.sum("s").alias("s")))
-    n, s = sums.filter(F.col("column") == columns[0]).agg(F.sum("n"), F.sum("s")).first()
+    sums, small = _materialised(counts)
+    n, s = sums.filter(F.col("column") == columns[0]).agg(F.sum("n_y"), F.sum("s")).first()
     default = s / n if n else None
     for c in columns:
         key, te = f"_k_{c}", f"{c}{suffix}"
         lookup = sums.filter((F.col("column") == c) & F.col("category").isNotNull()).select(
-            F.col("category").alias(key), F.try_divide("s", "n").alias(te))
-        df = lookup_join(df.withColumn(key, F.col(c).cast("string")), lookup, key).drop(key)
+            F.col("category").alias(key), F.try_divide("s", "n_y").alias(te))
+        df = lookup_join(df.withColumn(key, F.col(c).cast("string")), lookup, key,
+                         pinned=small).drop(key)
         df = df.withColumn(te, F.coalesce(F.col(te), F.lit(default).cast("double")))
     return df
 
 
 # --- codes fitted on fold-train only ---------------------------------------
 
-def _fold_vocabulary(df: DataFrame, columns, k: int, fold: str, as_text: bool) -> DataFrame:
+def _fold_vocabulary(counts: DataFrame, columns, k: int, as_text: bool) -> DataFrame:
     """(column, category, model_fold) for the categories found outside each fold."""
-    train = train_rows(df)
+    mine = counts.filter(F.col("column").isin(list(columns)))
     if as_text:
-        train = train.withColumns({c: category_text(F.col(c)) for c in columns})
-    counts = fold_counts(train.withColumn("_none", F.lit(None).cast("double")),
-                         columns, fold, "_none")
-    arrays = _arrays_by_category(counts, k).filter(F.col("category").isNotNull())
+        mine = mine.withColumn("category", category_text(F.col("category")))
+    arrays = _arrays_by_category(mine, k).filter(F.col("category").isNotNull())
     present = F.array_compact(F.array(*[
         F.when(_outside("n", f) > 0, F.lit(f)) for f in range(k)]))
     return arrays.select("column", "category", F.explode(present).alias("model_fold"))
@@ -233,33 +241,32 @@ def _fold_vocabulary(df: DataFrame, columns, k: int, fold: str, as_text: bool) -
 def _fold_code_arrays(df, ranked, columns, k, suffix, unseen, as_text) -> DataFrame:
     """Attach `{c}{suffix}`: array of one code per fold model."""
     per_fold = [F.max(F.when(F.col("model_fold") == f, F.col("code"))) for f in range(k)]
-    arrays = _materialised(ranked.groupBy("column", "category").agg(
+    arrays, small = _materialised(ranked.groupBy("column", "category").agg(
         F.array(*per_fold).alias("codes")))
+    others = {} if unseen is None else {
+        r["column"]: r["codes"] for r in arrays.filter(F.col("category") == unseen).collect()}
     for c in columns:
         key, out = f"_k_{c}", f"{c}{suffix}"
-        mine = arrays.filter(F.col("column") == c)
         text = category_text(F.col(c)) if as_text else F.col(c).cast("string")
-        lookup = mine.select(F.col("category").alias(key), F.col("codes").alias(out))
-        df = lookup_join(df.withColumn(key, text), lookup, key).drop(key)
-        if unseen is None:
-            other = F.array(*[F.lit(None).cast("int")] * k)
-        else:
-            found = mine.filter(F.col("category") == unseen).first()
-            other = F.array(*[F.lit(v).cast("int") for v in found["codes"]])
+        lookup = arrays.filter(F.col("column") == c).select(
+            F.col("category").alias(key), F.col("codes").alias(out))
+        df = lookup_join(df.withColumn(key, text), lookup, key, pinned=small).drop(key)
+        other = F.array(*[F.lit(v).cast("int") for v in others.get(c, [None] * k)])
         df = df.withColumn(out, F.when(F.col(out).isNull(), other).otherwise(
             F.transform(out, lambda v, i: F.coalesce(v, F.get(other, i)))))
     return df
 
 
 def add_fold_label_codes(df: DataFrame, columns: list[str], k: int = config.N_FOLDS,
-                         fold: str = "fold", suffix: str = "_code",
-                         unseen: str = "sentinel") -> DataFrame:
+                         fold: str = "fold", suffix: str = "_code", unseen: str = "sentinel",
+                         counts: DataFrame | None = None) -> DataFrame:
     """Codes by sorted order over the categories outside fold f, plus the sentinel.
 
     Categories fold model f never saw take the sentinel's code, which lies in sorted
     position. `unseen="first"` leaves the sentinel out and maps them to code 0.
     """
-    vocab = _fold_vocabulary(df, columns, k, fold, as_text=True)
+    counts = fold_table(df, columns, fold) if counts is None else counts
+    vocab = _fold_vocabulary(counts, columns, k, as_text=True)
     if unseen == "sentinel":
         folds = df.sparkSession.createDataFrame(
             [(c, config.UNSEEN_LABEL, f) for c in columns for f in range(k)], vocab.schema)
@@ -274,9 +281,11 @@ def add_fold_label_codes(df: DataFrame, columns: list[str], k: int = config.N_FO
 
 
 def add_fold_native_codes(df: DataFrame, columns: list[str], k: int = config.N_FOLDS,
-                          fold: str = "fold", suffix: str = "_code") -> DataFrame:
+                          fold: str = "fold", suffix: str = "_code",
+                          counts: DataFrame | None = None) -> DataFrame:
     """Codes over the non-missing categories outside fold f; missing and unseen are null."""
-    ranked = rank_categories(_fold_vocabulary(df, columns, k, fold, as_text=False),
+    counts = fold_table(df, columns, fold) if counts is None else counts
+    ranked = rank_categories(_fold_vocabulary(counts, columns, k, as_text=False),
                              ["column", "model_fold"])
     return _fold_code_arrays(df, ranked, columns, k, suffix, None, False)
 

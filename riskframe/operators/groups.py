@@ -9,26 +9,25 @@ from pyspark.sql import functions as F
 
 from riskframe import config
 from riskframe.operators.joins import lookup_join, pin_small
+from riskframe.operators.quantiles import quantile_values
 from riskframe.operators.rows import train_rows
 
 
 def scalar_stats(df: DataFrame, column: str) -> DataFrame:
     """One row: mean, sample std, min, max and exact median."""
-    from riskframe.operators.quantiles import quantile_values
-
-    c = F.col(column)
-    median = quantile_values(df, [column], [0.5])[column][0]
-    return df.agg(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
-                  F.max(c).alias("max")).withColumn("median", F.lit(median).cast("double"))
+    got = df.agg(F.avg(column), F.stddev_samp(column), F.min(column), F.max(column),
+                 F.count("*")).first()
+    median = quantile_values(df, [column], [0.5], rows=got[4])[column][0]
+    return df.sparkSession.createDataFrame(
+        [(*[None if v is None else float(v) for v in got[:4]], median)],
+        "mean double, std double, min double, max double, median double")
 
 
 def range_and_median(df: DataFrame, column: str) -> dict[str, float]:
     """Train scalars a feature formula needs, as plain numbers."""
-    from riskframe.operators.quantiles import quantile_values
-
-    low, high = df.agg(F.min(column), F.max(column)).first()
+    low, high, rows = df.agg(F.min(column), F.max(column), F.count("*")).first()
     return {"min": low, "max": high,
-            "median": quantile_values(df, [column], [0.5])[column][0]}
+            "median": quantile_values(df, [column], [0.5], rows=rows)[column][0]}
 
 
 def group_mean(df: DataFrame, by: str, column: str, alias: str = "mean") -> DataFrame:
@@ -101,7 +100,7 @@ def add_group_stats(df: DataFrame, by: str = "district",
     names = {f"{c}_{k}": f"{by}_{c}_{k}" for c in columns for k in ("mean", "std")}
     lookup = stats.filter(F.col(by).isNotNull()).select(
         by, *[F.col(a).alias(b) for a, b in names.items()])
-    joined = lookup_join(df, lookup, by)
+    joined = lookup_join(df, lookup, by, pinned=pinned is not None)
     defaults = {f"{by}_{c}_{k}": overall[c][i] for c in columns
                 for i, k in enumerate(("mean", "std"))}
     return joined.withColumns({

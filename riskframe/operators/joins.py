@@ -29,10 +29,13 @@ def pin_small(df: DataFrame, max_rows: int = config.MAX_BROADCAST_ROWS) -> DataF
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str] | str,
-                max_rows: int = config.MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left lookup; `lookup` has one row per key. Null keys never match."""
+                max_rows: int = config.MAX_BROADCAST_ROWS, pinned: bool = False) -> DataFrame:
+    """Left lookup; `lookup` has one row per key. Null keys never match.
+
+    `pinned` says the lookup was derived from a table `pin_small` returned.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    small = pin_small(lookup, max_rows)
+    small = lookup if pinned else pin_small(lookup, max_rows)
     if small is not None:
         return facts.join(F.broadcast(small), keys, "left")
     return spread_join(facts, lookup, keys)

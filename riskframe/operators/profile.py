@@ -31,13 +31,19 @@ def missing_report(df: DataFrame, columns=None) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per column."""
-    quarters = quantile_values(df, columns, [0.25, 0.5, 0.75])
-    wide = df.agg(*[F.struct(
-        F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-        *[F.lit(v).cast("double").alias(n) for n, v in zip(("p25", "p50", "p75"), quarters[c])],
-        F.max(c).cast("double").alias("max")).alias(f"_{i}") for i, c in enumerate(columns)])
-    return _rows(wide, [f"_{i}" for i in range(len(columns))])
+    aggregates = [F.count("*")]
+    for c in columns:
+        aggregates += [F.count(c), F.avg(c), F.stddev_samp(c), F.min(c).cast("double"),
+                       F.max(c).cast("double")]
+    got = df.agg(*aggregates).first()
+    quarters = quantile_values(df, columns, [0.25, 0.5, 0.75], rows=got[0])
+    rows = []
+    for i, c in enumerate(columns):
+        n, mean, std, low, high = got[1 + 5 * i:6 + 5 * i]
+        rows.append((c, n, mean, std, low, *quarters[c], high))
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count long, mean double, std double, min double, p25 double, "
+              "p50 double, p75 double, max double")
 
 
 def correlations(df: DataFrame, columns: list[str], target: str = config.TARGET) -> DataFrame:

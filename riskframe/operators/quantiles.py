@@ -18,21 +18,25 @@ _PIECES = 64
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    by: list[str] | None = None,
+                    by: list[str] | None = None, rows: int | None = None,
                     buffered: int = config.MAX_BUFFERED_VALUES) -> DataFrame:
-    """Rows (by..., column, n, quantiles): non-null count and quantiles in `probs` order."""
+    """Rows (by..., column, n, quantiles): non-null count and quantiles in `probs` order.
+
+    `rows` is the row count of `df` where the caller knows it; it saves counting.
+    """
     by = list(by or [])
     slim = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    if slim.count() <= buffered:
+    if (slim.count() if rows is None else rows) <= buffered:
         return _in_buffers(slim, columns, probs, by)
     return _by_narrowing(slim, columns, probs, by, buffered)
 
 
 def quantile_values(df: DataFrame, columns: list[str], probs: list[float],
+                    rows: int | None = None,
                     buffered: int = config.MAX_BUFFERED_VALUES) -> dict[str, list[float]]:
     """Ungrouped quantiles as plain numbers, None for a column without values."""
-    rows = exact_quantiles(df, columns, probs, buffered=buffered).collect()
-    found = {r["column"]: list(r["quantiles"]) for r in rows if r["n"]}
+    got = exact_quantiles(df, columns, probs, rows=rows, buffered=buffered).collect()
+    found = {r["column"]: list(r["quantiles"]) for r in got if r["n"]}
     return {c: found.get(c, [None] * len(probs)) for c in columns}
 
 

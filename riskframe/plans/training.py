@@ -47,9 +47,11 @@ class TrainingRun:
         return self.test.select(config.ID, clip_unit(F.col(column)).alias(config.TARGET))
 
 
-def tree_learners(rounds: int | None = None, patience: int | None = None) -> list[Learner]:
+def tree_learners(rounds: int | None = None, patience: int | None = None,
+                  overrides: dict | None = None) -> list[Learner]:
     """The three squared-loss boosters: native categories, depth-wise, categorical."""
-    extra = {k: v for k, v in (("rounds", rounds), ("patience", patience)) if v is not None}
+    extra = {k: v for k, v in (("rounds", rounds), ("patience", patience),
+                               ("overrides", overrides)) if v is not None}
     return [BoostedTrees("wide", "wide", True, **extra),
             BoostedTrees("depthwise", "depthwise", False, **extra),
             BoostedTrees("categorical", "categorical", True, **extra)]
@@ -219,7 +221,7 @@ def calibrate_run(run: TrainingRun, column: str = "blend") -> tuple[DataFrame, f
 
 def tuned_run(df: DataFrame, trials: int = 60, tuning_rounds: int = 2000, rounds: int = 3000,
               patience: int = 100, k: int = config.N_FOLDS, limits: dict | None = None,
-              restarts: int = config.KMEANS_RESTARTS, parallelism: int = 4
+              restarts: int = config.KMEANS_RESTARTS, parallelism: int = 8
               ) -> tuple[TrainingRun, DataFrame]:
     """Search settings with three folds, then refit the best on all folds."""
     data, names, codes = ensemble_features(df, restarts=restarts)
