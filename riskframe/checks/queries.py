@@ -800,13 +800,13 @@ def huber_boost(df):
 @on_sites
 def cv_ensemble(df):
     """Blended test predictions of three boosters with shuffled folds."""
-    return rounded(training.ensemble_run(df, quick_trees(), restarts=2).submission())
+    return rounded(training.ensemble_run(df, quick_trees(), k=3, restarts=2).submission())
 
 
 @on_sites
 def cv_spatial(df):
     """Fold scores of three boosters with spatial folds and per-fold encodings."""
-    return rounded(training.spatial_run(df, quick_trees(), restarts=2).scores)
+    return rounded(training.spatial_run(df, quick_trees(), k=3, restarts=2).scores)
 
 
 @on_sites

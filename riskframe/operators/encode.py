@@ -76,16 +76,35 @@ def rank_by_range(vocab: DataFrame, by: list[str]) -> DataFrame:
     ).drop("_part", "_id", "_first", "_before")
 
 
+def _attach(df: DataFrame, table: DataFrame, small: bool, columns, value: str, suffix: str,
+            missing_is_category: bool) -> DataFrame:
+    """`{c}{suffix}`: `value` of the (column, category) row each cell of `c` points to."""
+    def text(c):
+        return category_text(F.col(c)) if missing_is_category else F.col(c).cast("string")
+
+    keys = {c: f"_k_{c}" for c in columns}
+    df = df.withColumns({key: text(c) for c, key in keys.items()})
+    for c, key in keys.items():
+        lookup = table.filter(F.col("column") == c).select(
+            F.col("category").alias(key), F.col(value).alias(f"{c}{suffix}"))
+        df = lookup_join(df, lookup, key, pinned=small)
+    return df.drop(*keys.values())
+
+
+def _per_fold_default(df: DataFrame, columns, suffix: str, defaults: dict) -> DataFrame:
+    """Fill missing arrays, and missing positions of arrays, from one array per column."""
+    made = {}
+    for c in columns:
+        out, other = f"{c}{suffix}", defaults[c]
+        made[out] = F.when(F.col(out).isNull(), other).otherwise(F.zip_with(
+            out, other, lambda v, o: F.coalesce(v, o)))
+    return df.withColumns(made)
+
+
 def _code_columns(df: DataFrame, vocab: DataFrame, columns, suffix: str,
                   missing_is_category: bool = True) -> DataFrame:
     ranked, small = _materialised(rank_categories(vocab))
-    for c in columns:
-        key = f"_k_{c}"
-        codes = ranked.filter(F.col("column") == c).select(
-            F.col("category").alias(key), F.col("code").alias(f"{c}{suffix}"))
-        text = category_text(F.col(c)) if missing_is_category else F.col(c).cast("string")
-        df = lookup_join(df.withColumn(key, text), codes, key, pinned=small).drop(key)
-    return df
+    return _attach(df, ranked, small, columns, "code", suffix, missing_is_category)
 
 
 def label_encode(df: DataFrame, columns: list[str], suffix: str = "_code") -> DataFrame:
@@ -177,15 +196,8 @@ def add_fold_target_encoding(df: DataFrame, columns: list[str], k: int = config.
     maps, defaults = fold_target_maps(counts.filter(F.col("column").isin(list(columns))), k)
     maps, small = _materialised(maps)
     fallback = F.array(*[F.lit(d).cast("double") for d in defaults])
-    for c in columns:
-        key, te = f"_k_{c}", f"{c}{suffix}"
-        lookup = maps.filter(F.col("column") == c).select(
-            F.col("category").alias(key), F.col("te").alias(te))
-        df = lookup_join(df.withColumn(key, F.col(c).cast("string")), lookup, key,
-                         pinned=small).drop(key)
-        df = df.withColumn(te, F.when(F.col(te).isNull(), fallback).otherwise(
-            F.transform(te, lambda v, i: F.coalesce(v, F.get(fallback, i)))))
-    return df
+    df = _attach(df, maps, small, columns, "te", suffix, missing_is_category=False)
+    return _per_fold_default(df, columns, suffix, {c: fallback for c in columns})
 
 
 def _materialised(table: DataFrame) -> tuple[DataFrame, bool]:
@@ -214,15 +226,12 @@ def add_target_encoding(df: DataFrame, columns: list[str], target: str = config.
     counts = fold_counts(train_rows(df).withColumn("_all", F.lit(0)), columns, "_all", target)
     sums, small = _materialised(counts)
     n, s = sums.filter(F.col("column") == columns[0]).agg(F.sum("n_y"), F.sum("s")).first()
-    default = s / n if n else None
-    for c in columns:
-        key, te = f"_k_{c}", f"{c}{suffix}"
-        lookup = sums.filter((F.col("column") == c) & F.col("category").isNotNull()).select(
-            F.col("category").alias(key), F.try_divide("s", "n_y").alias(te))
-        df = lookup_join(df.withColumn(key, F.col(c).cast("string")), lookup, key,
-                         pinned=small).drop(key)
-        df = df.withColumn(te, F.coalesce(F.col(te), F.lit(default).cast("double")))
-    return df
+    default = F.lit(s / n if n else None).cast("double")
+    means = sums.filter(F.col("category").isNotNull()).withColumn(
+        "te", F.try_divide("s", "n_y"))
+    df = _attach(df, means, small, columns, "te", suffix, missing_is_category=False)
+    return df.withColumns({f"{c}{suffix}": F.coalesce(F.col(f"{c}{suffix}"), default)
+                           for c in columns})
 
 
 # --- codes fitted on fold-train only ---------------------------------------
@@ -245,16 +254,10 @@ def _fold_code_arrays(df, ranked, columns, k, suffix, unseen, as_text) -> DataFr
         F.array(*per_fold).alias("codes")))
     others = {} if unseen is None else {
         r["column"]: r["codes"] for r in arrays.filter(F.col("category") == unseen).collect()}
-    for c in columns:
-        key, out = f"_k_{c}", f"{c}{suffix}"
-        text = category_text(F.col(c)) if as_text else F.col(c).cast("string")
-        lookup = arrays.filter(F.col("column") == c).select(
-            F.col("category").alias(key), F.col("codes").alias(out))
-        df = lookup_join(df.withColumn(key, text), lookup, key, pinned=small).drop(key)
-        other = F.array(*[F.lit(v).cast("int") for v in others.get(c, [None] * k)])
-        df = df.withColumn(out, F.when(F.col(out).isNull(), other).otherwise(
-            F.transform(out, lambda v, i: F.coalesce(v, F.get(other, i)))))
-    return df
+    df = _attach(df, arrays, small, columns, "codes", suffix, as_text)
+    return _per_fold_default(df, columns, suffix, {
+        c: F.array(*[F.lit(v).cast("int") for v in others.get(c, [None] * k)])
+        for c in columns})
 
 
 def add_fold_label_codes(df: DataFrame, columns: list[str], k: int = config.N_FOLDS,

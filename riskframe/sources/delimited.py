@@ -29,7 +29,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def _typed(column, kind: T.DataType):
     text = missing_tokens_to_null(column)
-    return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
+    if isinstance(kind, T.StringType):
+        return text
+    text = F.trim(text)
+    if isinstance(kind, T.NumericType):
+        text = F.when(is_decimal_text(text), text)   # a bare cast reads '7d' as 7.0
+    return text.try_cast(kind)
 
 
 def infer_schema(spark: SparkSession, path: str) -> T.StructType:
