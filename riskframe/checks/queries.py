@@ -21,7 +21,7 @@ from riskframe.operators import (
 from riskframe.operators.quantiles import exact_quantiles
 from riskframe.plans import features as feature_plans
 from riskframe.plans import training
-from riskframe.session import scratch_path
+from riskframe.session import scratch_path, tune
 from riskframe.sources import delimited, runs
 from riskframe.sources.tables import sites, table
 
@@ -32,14 +32,16 @@ ID, SPLIT, TARGET = config.ID, config.SPLIT, config.TARGET
 
 def query(build):
     """Register under the function's name; `build` takes (spark, folder)."""
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return build(tune(spark), folder)
+    QUERIES[build.__name__] = run
     return build
 
 
 def on_sites(build):
     """Register a query whose only input is the `sites` view."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(sites(spark, folder))
+        return build(sites(tune(spark), folder))
     QUERIES[build.__name__] = run
     return build
 

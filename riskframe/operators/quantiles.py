@@ -1,8 +1,9 @@
 """Exact quantiles, with linear interpolation, at any size.
 
 Up to MAX_BUFFERED_VALUES rows the built-in `percentile` is used: it keeps every distinct
-value of a group in one buffer. Beyond that, values are counted first and the ranks are
-found by narrowing the value range, so no task ever holds a whole group.
+value of a group in one buffer. Beyond that, sketches bracket each quantile first; only the
+few values inside the brackets are shuffled and counted, and the brackets are cut further
+until each fits one task. The result is exact either way.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ _PIECES = 64
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     by: list[str] | None = None, rows: int | None = None,
-                    buffered: int = config.MAX_BUFFERED_VALUES) -> DataFrame:
+                    buffered: int = config.MAX_BUFFERED_VALUES,
+                    accuracy: int = 10_000) -> DataFrame:
     """Rows (by..., column, n, quantiles): non-null count and quantiles in `probs` order.
 
     `rows` is the row count of `df` where the caller knows it; it saves counting.
@@ -28,7 +30,13 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     slim = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     if (slim.count() if rows is None else rows) <= buffered:
         return _in_buffers(slim, columns, probs, by)
-    return _by_narrowing(slim, columns, probs, by, buffered)
+    found = cut_lineage(_by_narrowing(slim, columns, probs, by, buffered, accuracy))
+    # A sketch states its error as relative to the rows; should a bracket have missed its
+    # rank all the same, look everywhere.
+    missed = found.filter((F.col("n") > 0) & F.exists("quantiles", lambda q: q.isNull()))
+    if missed.limit(1).count():
+        return _by_narrowing(slim, columns, probs, by, buffered, None)
+    return found
 
 
 def quantile_values(df: DataFrame, columns: list[str], probs: list[float],
@@ -49,23 +57,48 @@ def _in_buffers(df: DataFrame, columns, probs, by) -> DataFrame:
     return wide.select(*by, F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
 
 
-def _by_narrowing(df: DataFrame, columns, probs, by, buffered: int) -> DataFrame:
-    group = [*by, "column"]
-    cells = df.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])))
-    counts = cut_lineage(cells.filter(F.col("value").isNotNull())
-                         .groupBy(*group, "value").agg(F.count("*").alias("k")))
-    # 0-based ranks to find: the two neighbours of (n − 1)·p.
-    def at(p):
-        return (F.col("n") - 1) * F.lit(float(p))
+def _brackets(df: DataFrame, columns, probs, by, accuracy: int | None) -> DataFrame:
+    """(by..., column, n, slots): per level the value range its rank must lie in.
+
+    A sketch with relative error e = 1/accuracy, asked 2e to either side, encloses it.
+    Sketches merge on the map side: no value is shuffled.
+    """
+    def bound(c, p, side):
+        level = None if accuracy is None else p + side * 2.0 / accuracy
+        if level is None or not 0.0 < level < 1.0:
+            return F.lit(side * float("inf"))
+        return F.percentile_approx(c, level, accuracy)
+
+    wide = df.groupBy(*by).agg(*[F.struct(
+        F.lit(c).alias("column"), F.count(c).alias("n"), F.array(*[
+            F.struct(F.lit(i).cast("bigint").alias("segment"), bound(c, p, -1).alias("low"),
+                     bound(c, p, 1).alias("high")) for i, p in enumerate(probs)]).alias("slots")
+    ).alias(f"_{i}") for i, c in enumerate(columns)])
+    return wide.select(*by, F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
 
-    needed = F.array_distinct(F.flatten(F.array(*[
-        F.array(F.floor(at(p)), F.ceil(at(p))) for p in probs])))
-    totals = counts.groupBy(*group).agg(F.sum("k").alias("n")).withColumn("ranks", needed)
 
-    work = _null_safe_join(counts, totals, group).withColumns(
-        {"segment": F.lit(0).cast("bigint"), "start": F.lit(0).cast("bigint")})
-    segment = [*group, "segment"]
+def _by_narrowing(df: DataFrame, columns, probs, by, buffered: int, accuracy: int | None
+                  ) -> DataFrame:
+    group, segment = [*by, "column"], [*by, "column", "segment"]
+
+    def at(p):                                     # 0-based position, between two ranks
+        return (F.col("n") - 1) * F.lit(float(p))
+
+    brackets = cut_lineage(_brackets(df, columns, probs, by, accuracy))
+    cells = df.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])))
+    placed = _null_safe_join(cells.filter(F.col("value").isNotNull()), brackets, group)
+    below = placed.groupBy(*group).agg(F.array(*[
+        F.count_if(F.col("value") < F.col("slots")[i]["low"]) for i in range(len(probs))
+    ]).alias("starts"))
+    inside = placed.select(*group, "value", F.explode(F.filter(
+        "slots", lambda s: F.col("value").between(s["low"], s["high"]))["segment"]).alias("segment"))
+    counts = inside.groupBy(*segment, "value").agg(F.count("*").alias("k"))
+    ranks = F.array(*[F.array(F.floor(at(p)), F.ceil(at(p))) for p in probs])
+    known = _null_safe_join(brackets.drop("slots"), below, group).withColumn("ranks", ranks)
+    work = cut_lineage(_null_safe_join(counts, known, group).withColumns({
+        "ranks": F.get("ranks", F.col("segment").cast("int")),
+        "start": F.get("starts", F.col("segment").cast("int"))}).drop("starts"))
     while True:
         largest = work.groupBy(*segment).count().agg(F.max("count")).first()[0] or 0
         if largest <= max(buffered, _PIECES):
@@ -73,22 +106,23 @@ def _by_narrowing(df: DataFrame, columns, probs, by, buffered: int) -> DataFrame
         work = cut_lineage(_narrow(work, segment))
     running = Window.partitionBy(*segment).orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    upto = F.col("start") + F.sum("k").over(running)
-    hits = work.withColumn("upto", upto).select(
-        *group, "n", "value", F.explode(F.filter(
+    hits = work.withColumn("upto", F.col("start") + F.sum("k").over(running)).select(
+        *group, "value", F.explode(F.filter(
             "ranks", lambda r: (r >= F.col("upto") - F.col("k")) & (r < F.col("upto")))
         ).alias("rank"))
-    picked = hits.groupBy(*group, "n").agg(
+    picked = hits.groupBy(*group).agg(
         F.map_from_entries(F.collect_set(F.struct("rank", "value"))).alias("at"))
     values = []
     for p in probs:
         low, high = F.col("at")[F.floor(at(p))], F.col("at")[F.ceil(at(p))]
         values.append(low + (high - low) * (at(p) - F.floor(at(p))))
-    return picked.select(*group, "n", F.array(*values).alias("quantiles"))
+    return _null_safe_join(brackets.drop("slots"), picked, group, "left").select(
+        *group, "n", F.array(*values).alias("quantiles"))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join in which a null group matches itself.
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
+                    ) -> DataFrame:
+    """Join in which a null group matches itself.
 
     `right` holds a few rows per group; it is broadcast when its size allows, because the
     keys are few and shuffling the values by them would put them in few tasks.
@@ -101,7 +135,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     for k in keys:
         same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         condition = same if condition is None else condition & same
-    return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _narrow(work: DataFrame, segment: list[str]) -> DataFrame:

@@ -74,14 +74,17 @@ def test_quantiles_beyond_one_buffer(spark):
         (F.pow(F.lit(2.0), (F.col("id") % 64))).alias("y"))
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     pdf = df.toPandas()
-    narrow = quantiles.exact_quantiles(df, ["x", "y"], probs, buffered=100).collect()
-    for r in narrow:
-        assert list(r["quantiles"]) == pytest.approx(
-            list(np.nanquantile(pdf[r["column"]].astype(float), probs)), rel=1e-12)
+    for accuracy in (10_000, 20):                  # tight and wide brackets
+        narrow = quantiles.exact_quantiles(df, ["x", "y"], probs, buffered=100,
+                                           accuracy=accuracy).collect()
+        assert len(narrow) == 2
+        for r in narrow:
+            assert list(r["quantiles"]) == pytest.approx(
+                list(np.nanquantile(pdf[r["column"]].astype(float), probs)), rel=1e-12)
     plain = {(r["g"], r["column"]): list(r["quantiles"]) for r in quantiles.exact_quantiles(
         df, ["x", "y"], probs, ["g"]).collect()}
     split = {(r["g"], r["column"]): list(r["quantiles"]) for r in quantiles.exact_quantiles(
-        df, ["x", "y"], probs, ["g"], buffered=100).collect()}
+        df, ["x", "y"], probs, ["g"], buffered=100, accuracy=20).collect()}
     assert len(plain) == 8 and plain.keys() == split.keys()
     for key, values in plain.items():
         assert split[key] == pytest.approx(values, rel=1e-12)
@@ -99,3 +102,10 @@ def test_lookup_plan_broadcasts_only_the_small_side(spark, all_sites):
     plan = groups.add_group_stats(all_sites, columns=config.GROUP_STAT_COLUMNS[:2])
     text = plan._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_quantiles_of_an_empty_column(spark):
+    df = spark.range(300).select(F.lit(None).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    for buffered in (1000, 100):
+        got = quantiles.quantile_values(df, ["x", "y"], [0.5], buffered=buffered)
+        assert got == {"x": [None], "y": [149.5]}
