@@ -209,8 +209,8 @@ FROM train JOIN q USING ({by}) WHERE {T} IS NOT NULL GROUP BY {by}, q1, med, q3"
 add("box_stats", *boxes("district"))
 add("box_stats_road_quality", *boxes("road_quality"))
 add("distinct_values", "SELECT DISTINCT soil_type FROM train")
-ORACLES["group_stats_lineitem"] = f"""SELECT l_partkey, {r('avg(l_discount)')} AS mean,
-  {r('stddev_samp(l_discount)')} AS std, count(l_discount)::BIGINT AS count
+ORACLES["group_stats_lineitem"] = f"""SELECT l_partkey, {r('avg(l_discount)', 9)} AS mean,
+  {r('stddev_samp(l_discount)', 9)} AS std, count(l_discount)::BIGINT AS count
 FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1"""
 
 # --- model scores ----------------------------------------------------------
@@ -246,7 +246,7 @@ add("spread_report", f"""SELECT {r('stddev_pop(rain)')} AS pred_std, {r('stddev_
   {r('stddev_samp(y) / stddev_pop(rain)')} AS ratio FROM scored""", PREDS)
 add("run_log", f"""SELECT 'param' AS kind, 'n_folds' AS key, 5.0::DOUBLE AS value
 UNION ALL SELECT 'param', 'models', NULL
-UNION ALL SELECT 'metric', coalesce('fold' || fold, 'oof') || '_' || s, {r('v', 5)} FROM (
+UNION ALL SELECT 'metric', coalesce('fold' || fold, 'oof') || '_' || s, {r('v')} FROM (
   {union([f"SELECT fold, '{s}' AS s, round({s}, 6) AS v FROM bf WHERE model = 'rain'" for s in FOUR])})""", BY_FOLD)
 
 # --- group transforms and features -----------------------------------------
