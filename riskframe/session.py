@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +30,12 @@ def build_session(app: str = "riskframe", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a folder of this machine.
+    Where that is unset, a folder inside the warehouse, which all executors share as well.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = os.path.join(tempfile.gettempdir(), f"riskframe-{uuid.uuid4().hex}")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

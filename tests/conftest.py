@@ -12,9 +12,11 @@ DATA = os.environ.get("RISKFRAME_TEST_DATA", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4",
-                            spark__driver__memory="6g")
+                            spark__driver__memory="6g", spark__checkpoint__dir=f"{shared}/scratch",
+                            spark__sql__warehouse__dir=f"{shared}/warehouse")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
