@@ -5,18 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskframe.llm.exact import exact_duplicates
+from riskframe.llm.quality import quality_rules
+from riskframe.llm.secrets import secret_spans, span_list
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_spans(table(spark, folder, "documents"))
+    counted = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(name)
+               for k, name in enumerate(["n_assign", "n_access", "n_hex"])]
+    return found.select("doc_id", *counted, F.sha2(span_list(F.col("base")), 256).alias(
+        "base_sha256"), span_list(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_secret_scan": op7_secret_scan,
 }
