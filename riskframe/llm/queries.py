@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.exact import exact_duplicates
+from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.quality import quality_rules
 from riskframe.llm.secrets import secret_spans, span_list
 
@@ -32,8 +33,13 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_secret_scan": op7_secret_scan,
+    "op9_near_duplicates": op9_near_duplicates,
 }
