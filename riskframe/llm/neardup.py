@@ -10,7 +10,7 @@
 3. *First links.* Every member of a list is held against one hub of it; hubs differ between lists.
    Coordinates are counted, then the full sets compared.
 4. *The rest.* Lists that still hold more than one component are compared in blocks, each class
-   outside the list's largest component against all others. A block holds at most `BLOCK_MASS`
+   outside the list's largest component against all others. A block holds a bounded number of
    shingles; no pairs are emitted but links between components. So no list is capped, and a group
    of copies costs its size, not its square, unless its members really differ.
 5. *Components* by star contraction; names are the smallest ids.
@@ -31,14 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.graph import components
+from riskframe.llm.linking import hub_pairs, open_blocks, shared_lists
 from riskframe.session import cut_lineage
 
 COORDINATES = 64
 MATCHES = 36              # coordinates a pair must agree in to be confirmed
 PERCENT = 80              # 100 * intersection >= PERCENT * union
-BANDS = 3
-HUB_SALTS = 4             # different hubs a group of lists gets
-BLOCK_MASS = 500_000      # shingles a block of a list holds
 MAX_BROADCAST_IDS = 1_000_000
 WORD_CACHE = 400_000      # hashes of words a task remembers
 
@@ -136,7 +134,7 @@ def band_of(n: Column) -> Column:
 
 
 def posting_lists(classes: DataFrame) -> DataFrame:
-    """list, node, n, hub: the members of each list of two classes or more, and which is its hub."""
+    """list, node, mass, hub: the members of each list of two classes or more."""
     keys = classes.select("node", "n", F.explode("sig").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
     ranked = keys.join(shared, "key").groupBy("node", "n").agg(
@@ -145,15 +143,10 @@ def posting_lists(classes: DataFrame) -> DataFrame:
     prefix = COORDINATES - MATCHES + 1 - (COORDINATES - F.size("keys"))
     posted = ranked.select("node", "n", F.explode(F.slice("keys", 1, F.greatest(
         prefix, F.lit(0)))).alias("k")).select("node", "n", F.col("k.key").alias("key"))
-    posted = cut_lineage(posted.select(
-        "node", "n", "key", F.explode(F.array(band_of(F.col("n")), band_of(F.col("n")) + 1)).alias("band")))
-    place = F.xxhash64("node", F.pmod("key", F.lit(HUB_SALTS)))
-    lists = posted.groupBy("key", "band").agg(
-        F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"),
-        F.bit_xor(F.xxhash64("node", F.lit("again"))).alias("y"), F.min(place).alias("hub")).filter("c > 1")
-    once = lists.groupBy("c", "x", "y").agg(F.min(F.struct("key", "band", "hub")).alias("l"))
-    once = once.select("l.*", F.xxhash64("l.key", "l.band").alias("list"))
-    return posted.join(once, ["key", "band"]).select("list", "node", "n", (place == F.col("hub")).alias("hub"))
+    bands = F.explode(F.array(band_of(F.col("n")), band_of(F.col("n")) + 1))
+    posted = posted.select("node", "n", "key", bands.alias("band"))
+    return shared_lists(cut_lineage(posted.select(
+        F.xxhash64("key", "band").alias("key"), "node", F.col("n").alias("mass"))))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -195,29 +188,9 @@ def links_between(rows: pd.DataFrame) -> pd.DataFrame:
 
 def remaining_links(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     """Links (a, b) between components that the lists still hold; all such pairs are compared."""
-    parts = members.join(found, "node", "left").select(
-        "list", "node", "n", F.coalesce("component", "node").alias("component"))
-    parts = cut_lineage(parts)
-    shares = parts.groupBy("list", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("mass"))
-    open_lists = shares.groupBy("list").agg(
-        F.max(F.struct("c", "component", "mass")).alias("top"), F.count(F.lit(1)).alias("parts"),
-        F.sum("c").alias("size"), F.sum("mass").alias("mass")).filter("parts > 1 AND size > 2")
-    open_lists = open_lists.select(
-        "list", F.col("top.component").alias("largest"),
-        F.ceil(F.col("mass") / BLOCK_MASS).cast("int").alias("blocks"),
-        F.ceil((F.col("mass") - F.col("top.mass")) / BLOCK_MASS).cast("int").alias("outer_blocks"))
-    rows = parts.join(open_lists, "list")
-    spread = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rest = F.pmod(F.xxhash64("node"), F.col("outer_blocks")).cast("int")
-    inner = F.transform(F.sequence(F.lit(0), F.col("outer_blocks") - 1), lambda i: F.struct(
-        i.alias("o"), spread.alias("i"), F.lit(False).alias("outer")))
-    outer = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(
-        rest.alias("o"), i.alias("i"), F.lit(True).alias("outer")))
-    rows = rows.select("list", "node", "component", F.explode(F.when(
-        F.col("component") == F.col("largest"), inner).otherwise(F.concat(inner, outer))).alias("at"))
-    rows = rows.select("list", "node", "component", "at.*").join(sets, "node")
+    rows = open_blocks(members, found).join(sets, "node")
     return rows.groupBy("list", "o", "i").applyInPandas(
-        lambda block: links_between(block), "a long, b long").distinct()
+        links_between, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,10 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = sets_of(texts.select("node", "digest", "text")).filter("found = digest").dropDuplicates(["node"])
     sets = cut_lineage(sets.join(wanted.select("node", "sig"), "node").select("node", "sig", "shingles"))
 
-    hubs = members.filter("hub").select("list", F.col("node").alias("with"))
-    pairs = members.join(hubs, "list").filter(F.col("node") != F.col("with")).select(
-        F.least("node", "with").alias("a"), F.greatest("node", "with").alias("b")).distinct()
-    links = cut_lineage(confirmed(pairs, sets))
+    links = cut_lineage(confirmed(hub_pairs(members), sets))
     found = components(links)
     more = cut_lineage(remaining_links(members, sets, found))
     if not more.isEmpty():
