@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.exact import exact_duplicates
+from riskframe.llm.lines import dedup_lines
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.quality import quality_rules
 from riskframe.llm.secrets import secret_spans, span_list
@@ -25,6 +26,15 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = dedup_lines(table(spark, folder, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", F.col("__n_lines").alias("n_lines"),
+                       F.col("__n_dropped").alias("n_dropped"),
+                       F.length(text).cast("long").alias("kept_chars"),
+                       F.sha2(text, 256).alias("text_sha256"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_spans(table(spark, folder, "documents"))
     counted = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(name)
@@ -40,6 +50,7 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op9_near_duplicates": op9_near_duplicates,
 }
