@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.exact import exact_duplicates
 from riskframe.llm.lines import dedup_lines
 from riskframe.llm.neardup import near_duplicates
+from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import quality_rules
 from riskframe.llm.secrets import secret_spans, span_list
 
@@ -43,6 +45,11 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -52,5 +59,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op7_secret_scan": op7_secret_scan,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_near_duplicates": op9_near_duplicates,
 }
