@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.llm.bpe import encode_and_decode
 from riskframe.llm.exact import exact_duplicates
 from riskframe.llm.lines import dedup_lines
 from riskframe.llm.neardup import near_duplicates
@@ -54,6 +55,13 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = encode_and_decode(table(spark, folder, "documents"),
+                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_exact_dedup": op3_exact_dedup,
@@ -61,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_byte_bpe": op10_byte_bpe,
 }
