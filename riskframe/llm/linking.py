@@ -36,12 +36,14 @@ def hub_pairs(members: DataFrame) -> DataFrame:
         F.least("node", "with").alias("a"), F.greatest("node", "with").alias("b")).distinct()
 
 
-def open_blocks(members: DataFrame, found: DataFrame, block_mass: int | None = None) -> DataFrame:
+def open_blocks(members: DataFrame, found: DataFrame, least: int = 3,
+                block_mass: int | None = None) -> DataFrame:
     """list, o, i, outer, node, component: what is left to compare after `found` (node, component).
 
     Of each list with more than one component, the nodes outside the largest one (outer) meet all
     nodes of the list (inner). Both sides are dealt into blocks of about `block_mass` by a hash,
-    and the rows of (list, o, i) are one pair of blocks.
+    and the rows of (list, o, i) are one pair of blocks. Lists below `least` nodes are left out: their
+    hub has met all of them.
     """
     limit = block_mass or BLOCK_MASS
     parts = cut_lineage(members.join(found, "node", "left").select(
@@ -50,7 +52,7 @@ def open_blocks(members: DataFrame, found: DataFrame, block_mass: int | None = N
         F.count(F.lit(1)).alias("c"), F.sum("mass").alias("mass"))
     lists = shares.groupBy("list").agg(
         F.max(F.struct("c", "component", "mass")).alias("top"), F.count(F.lit(1)).alias("parts"),
-        F.sum("c").alias("size"), F.sum("mass").alias("mass")).filter("parts > 1 AND size > 2")
+        F.sum("c").alias("size"), F.sum("mass").alias("mass")).filter(f"parts > 1 AND size >= {least}")
     lists = lists.select(
         "list", F.col("top.component").alias("largest"),
         F.ceil(F.col("mass") / limit).cast("int").alias("blocks"),

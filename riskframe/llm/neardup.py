@@ -8,11 +8,12 @@
    by their exact frequency. Sets whose sizes forbid the similarity never meet: a list holds two
    neighbouring size bands. Lists of the same classes are kept once.
 3. *First links.* Every member of a list is held against one hub of it; hubs differ between lists.
-   Coordinates are counted, then the full sets compared.
+   Coordinates are counted on the signatures, and pairs with enough compared on their full sets.
 4. *The rest.* Lists that still hold more than one component are compared in blocks, each class
-   outside the list's largest component against all others. A block holds a bounded number of
-   shingles; no pairs are emitted but links between components. So no list is capped, and a group
-   of copies costs its size, not its square, unless its members really differ.
+   outside the list's largest component against all others: first on signatures, then, of the
+   classes that found a partner, on sets. No pairs are emitted but links between components. So no
+   list is capped, and a group of copies costs its size, not its square, unless its members really
+   differ. Sets are worked out only for classes that signatures cannot tell apart.
 5. *Components* by star contraction; names are the smallest ids.
 
 A pair of similarity exactly 0.8 agrees in fewer than 36 of 64 places with odds of about 2 in a
@@ -112,20 +113,22 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, n long, digest binary, sig array<bigint>")
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """The other columns of (..., text) with digest and full set of each row."""
-    names = [c for c in docs.columns if c != "text"]
+def sets_of(base: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and shingles (its full set) of `nodes` (node, digest, key: id of one of its rows)."""
+    few = nodes.count() <= MAX_BROADCAST_IDS
+    texts = base.join(F.broadcast(nodes) if few else nodes, F.col("id").eqNullSafe(F.col("key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            found = [shingle_set(t.as_py(), hashes) for t in batch.column("text")]
+            found = [shingle_set(text.as_py(), hashes) for text in batch.column(2)]
+            # Another text may have the same id.
+            right = pa.array([xxhash.xxh3_128_digest(x.tobytes()) == digest.as_py()
+                              for x, digest in zip(found, batch.column(1), strict=True)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in names]
-                + [pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
-                   lists_of(found)], [*names, "found", "shingles"])
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return docs.mapInArrow(run, f"{kinds}, found binary, shingles array<bigint>")
+                [batch.column(0), lists_of(found)], ["node", "shingles"]).filter(right)
+    return cut_lineage(texts.select("node", "digest", "text").mapInArrow(
+        run, "node long, shingles array<bigint>"))
 
 
 def band_of(n: Column) -> Column:
@@ -149,18 +152,43 @@ def posting_lists(classes: DataFrame) -> DataFrame:
         F.xxhash64("key", "band").alias("key"), "node", F.col("n").alias("mass"))))
 
 
+def with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """(a, b) with the column of `values` (node, ...) of both nodes as left and right."""
+    return pairs.join(values.select(F.col("node").alias("a"), F.col(name).alias("left")), "a").join(
+        values.select(F.col("node").alias("b"), F.col(name).alias("right")), "b")
+
+
+def agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The (a, b) that agree in `MATCHES` coordinates or more."""
+    same = F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda equal: equal)
+    return with_both(pairs, signatures, "sig").filter(F.size(same) >= MATCHES).select("a", "b")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of (a, b), the pairs that agree in `MATCHES` coordinates and are similar on their sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("sig").alias("sa"), F.col("shingles").alias("wa"))
-    right = sets.select(F.col("node").alias("b"), F.col("sig").alias("sb"), F.col("shingles").alias("wb"))
-    agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    both = F.size(F.array_intersect("wa", "wb"))
-    found = pairs.join(left, "a").join(right, "b").filter(agree >= MATCHES)
-    return found.filter(both * 100 >= PERCENT * (F.size("wa") + F.size("wb") - both)).select("a", "b")
+    """The (a, b) that are similar on their full sets."""
+    both = F.size(F.array_intersect("left", "right"))
+    either = F.size("left") + F.size("right") - both
+    return with_both(pairs, sets, "shingles").filter(both * 100 >= PERCENT * either).select("a", "b")
+
+
+def agreeing_members(rows: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of a pair of blocks that agree with a node of another component across it."""
+    inner, outer = rows[~rows["outer"]], rows[rows["outer"]]
+    if not len(inner) or not len(outer):
+        return pd.DataFrame({"list": [], "node": []}, dtype="int64")
+    signatures = np.stack(inner["sig"].to_list())
+    comps, hit, found = inner["component"].to_numpy(), np.zeros(len(inner), bool), []
+    for node, comp, sig in zip(outer["node"], outer["component"], outer["sig"], strict=True):
+        agree = ((signatures == sig).sum(axis=1) >= MATCHES) & (comps != comp)
+        if agree.any():
+            hit |= agree
+            found.append(node)
+    nodes = np.unique(np.concatenate([inner["node"].to_numpy()[hit], np.array(found, np.int64)]))
+    return pd.DataFrame({"list": rows["list"].iloc[0], "node": nodes})
 
 
 def links_between(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links of a block: of each outer row, one to each other component it is similar to."""
+    """Links of a pair of blocks: of each outer row, one to each other component it is similar to."""
     inner, outer = rows[~rows["outer"]], rows[rows["outer"]]
     links = []
     if len(inner) and len(outer):
@@ -169,28 +197,27 @@ def links_between(rows: pd.DataFrame) -> pd.DataFrame:
         owners = np.repeat(np.arange(len(inner)), sizes)
         order = np.argsort(values, kind="stable")
         values, owners = values[order], owners[order]
-        signatures = np.stack(inner["sig"].to_list())
         nodes, comps = inner["node"].to_numpy(), inner["component"].to_numpy()
-        for node, comp, sig, mine in zip(outer["node"], outer["component"], outer["sig"],
-                                         outer["shingles"], strict=True):
-            agree = ((signatures == sig).sum(axis=1) >= MATCHES) & (comps != comp)
-            if not agree.any():
-                continue
+        for node, comp, mine in zip(outer["node"], outer["component"], outer["shingles"], strict=True):
             low = np.searchsorted(values, mine, "left")
             many = np.searchsorted(values, mine, "right") - low
-            hits = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+            hits = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
             both = np.bincount(owners[hits], minlength=len(inner))
-            near = agree & (both * 100 >= PERCENT * (sizes + len(mine) - both))
+            near = (comps != comp) & (both * 100 >= PERCENT * (sizes + len(mine) - both))
             firsts = np.unique(comps[near], return_index=True)[1]
             links += [(node, other) for other in nodes[near][firsts]]
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def remaining_links(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+def remaining_links(base: DataFrame, members: DataFrame, posted: DataFrame, found: DataFrame) -> DataFrame:
     """Links (a, b) between components that the lists still hold; all such pairs are compared."""
-    rows = open_blocks(members, found).join(sets, "node")
-    return rows.groupBy("list", "o", "i").applyInPandas(
-        links_between, "a long, b long").distinct()
+    rows = open_blocks(members, found).join(posted.select("node", "sig"), "node")
+    close = rows.groupBy("list", "o", "i").applyInPandas(
+        agreeing_members, "list long, node long").distinct()
+    close = cut_lineage(close.join(members.select("list", "node", "mass"), ["list", "node"]))
+    nodes = cut_lineage(close.select("node").distinct().join(posted.drop("sig"), "node"))
+    rows = open_blocks(close, found, least=2).join(sets_of(base, nodes), "node")
+    return rows.groupBy("list", "o", "i").applyInPandas(links_between, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,18 +236,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
 
     members = cut_lineage(posting_lists(classes))
-    posted = cut_lineage(members.select("node").distinct())
-    wanted = cut_lineage(classes.join(posted, "node").select(
+    posted = cut_lineage(classes.join(members.select("node").distinct(), "node").select(
         "node", "digest", F.col("id").alias("key"), "sig"))
-    few = wanted.count() <= MAX_BROADCAST_IDS
-    ids = wanted.select("node", "digest", "key")
-    texts = base.join(F.broadcast(ids) if few else ids, F.col("id").eqNullSafe(F.col("key")))
-    sets = sets_of(texts.select("node", "digest", "text")).filter("found = digest").dropDuplicates(["node"])
-    sets = cut_lineage(sets.join(wanted.select("node", "sig"), "node").select("node", "sig", "shingles"))
-
-    links = cut_lineage(confirmed(hub_pairs(members), sets))
+    pairs = cut_lineage(agreeing(hub_pairs(members), posted))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = cut_lineage(posted.drop("sig").join(nodes, "node"))
+    links = cut_lineage(confirmed(pairs, sets_of(base, nodes)))
     found = components(links)
-    more = cut_lineage(remaining_links(members, sets, found))
+    more = cut_lineage(remaining_links(base, members, posted, found))
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
