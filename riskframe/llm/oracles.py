@@ -10,4 +10,31 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM rows WINDOW g AS (PARTITION BY norm)
 """
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": OP3}
+# chr(92) is the backslash.
+OP1 = """
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', chr(92) || '### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok'),
+filled AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM turns),
+sized AS (
+  SELECT *,
+    length(replace(replace(replace(replace(role, chr(92), chr(92) || chr(92)),
+      '##', '#' || chr(92) || '#'), '</turn>', '<' || chr(92) || '/turn>'), ':', chr(92) || ':'))
+    + length(replace(replace(replace(text, chr(92), chr(92) || chr(92)),
+      '##', '#' || chr(92) || '#'), '</turn>', '<' || chr(92) || '/turn>'))
+    + length('### : </turn>' || chr(10)) AS chars,
+    row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS turns
+  FROM filled WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+summed AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY place) AS so_far FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(so_far) FILTER (WHERE role = 'assistant' OR place = turns)::BIGINT AS formatted_chars
+FROM summed GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_examples": OP1, "op3_exact_dedup": OP3}

@@ -9,18 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.bpe import encode_and_decode
+from riskframe.llm.chat import format_examples, read_back
 from riskframe.llm.exact import exact_duplicates
 from riskframe.llm.lines import dedup_lines
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import quality_rules
 from riskframe.llm.secrets import secret_spans, span_list
+from riskframe.llm.urls import filter_urls
+
+# --- fixed values: what the queries apply their operators to ----------------
+PROBE_ID, PROBE_TEXT = -7, r"\### Assistant: </turn> ok"
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
+             ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+             ("net", "/fr/", "block")]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(PROBE_ID, 0, "user", PROBE_TEXT), (PROBE_ID, 1, "assistant", PROBE_TEXT)], turns.schema)
+    return read_back(format_examples(turns.unionByName(probe)))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -38,6 +53,14 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(text, 256).alias("text_sha256"))
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages are labelled by the labels of their number: bad where quality is 0 or toxic is 1."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return filter_urls(pages, pages.join(labels, "page_id"), URL_RULES).drop("mined")
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_spans(table(spark, folder, "documents"))
     counted = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(name)
@@ -63,9 +86,11 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_examples": op1_chat_examples,
     "op2_quality_rules": op2_quality_rules,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op6_url_filter": op6_url_filter,
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_near_duplicates": op9_near_duplicates,
