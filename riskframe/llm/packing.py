@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from riskframe.session import cut_lineage
 
 SEQUENCE = 4096           # tokens a sequence holds
 END_ID = 1                # closes each document
-WORD_CACHE = 400_000      # words whose ids a worker remembers
+WORD_CACHE = 1_000_000     # words whose ids a worker remembers
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]   # ((length, how often), ...), copies
 
@@ -34,21 +35,20 @@ Pattern = tuple[tuple[tuple[int, int], ...], int]   # ((length, how often), ...)
 # ---- tokens ---------------------------------------------------------------------------------
 
 class WordIds:
-    """Ids of texts by way of their words, remembered between texts and tasks of a worker."""
+    """Ids of texts by way of their words, remembered between texts and tasks of a worker.
+
+    `array` numbers are in the machine's order, which is little-endian wherever Spark runs Arrow.
+    """
 
     loaded: dict[str, WordIds] = {}
 
     def __init__(self, path: str):
-        import re
-
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.ids: dict[bytes, bytes] = {}
-        # A stop or comma between a letter or digit and white space is a token of its own.
-        self.stop = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n]|$)")
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -58,17 +58,22 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [self.stop.sub(rb" \1", text.encode("utf-8", "replace").lower()).split()
-                 for text in texts]
-        new = list(set().union(*split).difference(self.ids)) if split else []
+        split = [text.encode("utf-8", "replace").lower().split() for text in texts]
+        words = set().union(*split)
+        new = words.difference(self.ids)
         if len(new) + len(self.ids) > WORD_CACHE:
-            self.ids = {}
-            new = list(set().union(*split))
+            self.ids, new = {}, words
+        # A stop or comma after a letter or digit at a word's end is a token of its own.
+        stops = {word for word in new if word[-1:] in (b".", b",") and word[-2:-1].isalnum()}
+        plain = list((new - stops | {word[:-1] for word in stops} | {b".", b","}).difference(self.ids))
         found = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in new], add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
-            self.ids[word] = np.array(encoding.ids, "<u4").tobytes()
-        return [b"".join(map(self.ids.__getitem__, words)) for words in split]
+            [word.decode() for word in plain], add_special_tokens=False)
+        ids = self.ids
+        for word, encoding in zip(plain, found, strict=True):
+            ids[word] = array("I", encoding.ids).tobytes()
+        for word in stops:
+            ids[word] = ids[word[:-1]] + ids[word[-1:]]
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
 
 
 def text_groups(column: pa.Array, chars: int = 4_000_000) -> Iterator[list[str]]:
