@@ -1,5 +1,7 @@
 """The SQL twins of the subpackage's queries, where SQL can express them."""
 
+from riskframe.llm.licences import COPYRIGHT_LINE, LICENCES, SPELLINGS
+
 OP3 = """
 WITH rows AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -37,4 +39,40 @@ SELECT conv_id, count(*) AS n_turns,
 FROM summed GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op1_chat_examples": OP1, "op3_exact_dedup": OP3}
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    """SQL for the canonical form of an expression."""
+    spellings = ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in SPELLINGS.items())
+    lines = f"""array_to_string(list_filter(string_split(translate({text},
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)),
+        lambda x: NOT regexp_matches(x, {_quoted(COPYRIGHT_LINE)})), chr(10))"""
+    words = f"""list_filter(string_split(regexp_replace({lines}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
+        lambda w: w <> '')"""
+    return f"array_to_string(list_transform({words}, lambda w: coalesce(MAP {{{spellings}}}[w], w)), ' ')"
+
+
+OP5 = f"""
+WITH known AS (
+  SELECT sha256({_canonical("text")}) AS digest, min(name) AS name
+  FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in LICENCES.items())}) t(name, text)
+  GROUP BY 1),
+docs AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT n, sha256({_canonical("line")}) AS digest
+  FROM (SELECT n, unnest(string_split(text, chr(10))) AS line FROM docs)),
+found AS (
+  SELECT n, count(*) AS lines, string_agg(DISTINCT name, ',' ORDER BY name) AS names
+  FROM lines JOIN known USING (digest) GROUP BY n),
+whole AS (SELECT n, doc_id, sha256({_canonical("text")}) AS digest FROM docs)
+SELECT doc_id, w.digest, k.name AS licence, coalesce(f.lines, 0)::BIGINT AS n_licence_lines,
+       coalesce(f.names, '') AS line_licences
+FROM whole w LEFT JOIN known k ON k.digest = w.digest LEFT JOIN found f ON f.n = w.n
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_examples": OP1, "op3_exact_dedup": OP3,
+                           "op5_licence_scan": OP5}

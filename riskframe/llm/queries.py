@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.bpe import encode_and_decode
 from riskframe.llm.chat import format_examples, read_back
 from riskframe.llm.exact import exact_duplicates
+from riskframe.llm.licences import licence_scan
 from riskframe.llm.lines import dedup_lines
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.packing import pack_documents
@@ -53,6 +54,10 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(text, 256).alias("text_sha256"))
 
 
+def op5_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_scan(table(spark, folder, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Pages are labelled by the labels of their number: bad where quality is 0 or toxic is 1."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_licence_scan": op5_licence_scan,
     "op6_url_filter": op6_url_filter,
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
