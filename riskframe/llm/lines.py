@@ -258,6 +258,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), version.alias("version"), F.col(text_col).alias("text"))
     drops = duplicate_lines(rows, threshold, min_near).withColumnsRenamed(
         {"id": "__of", "version": "__at", "drop": "__drop"})
+    drops = cut_lineage(drops)
+    drops = F.broadcast(drops) if drops.count() <= MAX_BROADCAST_IDS else drops
     joined = docs.withColumn("__version", version).join(drops, F.col(id_col).eqNullSafe(F.col("__of")) & (
         F.col("__version") == F.col("__at")), "left")
     left = F.array_join(F.filter(lines_of(F.col(text_col)), lambda line, i: ~F.array_contains(

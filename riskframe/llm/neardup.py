@@ -95,22 +95,24 @@ def lists_of(arrays: list[np.ndarray | None]) -> pa.Array:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """id, n, digest and signature of each row of (id, text); the last two null without words."""
+    """id, version, n, digest and signature of each row of (id, version, text); the last two null
+    without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, offsets = coordinate_factors()
         hashes = WordHashes()
         for batch in batches:
             sizes, digests, signatures = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 found = shingle_set(text.as_py(), hashes)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 signatures.append(signature(found, factors, offsets) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 lists_of(signatures)], ["id", "n", "digest", "sig"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                 pa.array(digests, pa.binary()), lists_of(signatures)],
+                ["id", "version", "n", "digest", "sig"])
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n long, digest binary, sig array<bigint>")
+    return docs.mapInArrow(run, f"id {kind}, version long, n long, digest binary, sig array<bigint>")
 
 
 def sets_of(base: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -220,16 +222,10 @@ def remaining_links(base: DataFrame, members: DataFrame, posted: DataFrame, foun
     return rows.groupBy("list", "o", "i").applyInPandas(links_between, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept.
-
-    Words are separated by ASCII white space and A-Z are lower-cased; a text of one word has that
-    word as its only shingle. A null, empty or blank text has none and is linked with nothing.
-    Rows of one id are documents each; equal sets are linked at any size. component_id is the
-    smallest id reachable, kept whether it is the row's own; rows that repeat that id all stay, and
-    a null id is larger than any other. Extra columns are ignored. An empty table gives no rows.
-    """
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def linked_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, version (hash of the text), n, component, kept of each row; see `near_duplicates`."""
+    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"),
+                       F.col(text_col).alias("text"))
     rows = cut_lineage(signed(base))
     classes = rows.filter("n > 0").groupBy("digest").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
@@ -253,8 +249,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = classes.select("digest", F.col("id").alias("class_id"))
     named = alone.join(linked, "digest", "left").select(
         "digest", F.coalesce("component_id", "class_id").alias("component_id"))
-    out = rows.select("id", "n", "digest").join(named, "digest", "left")
+    out = rows.select("id", "version", "n", "digest").join(named, "digest", "left")
     component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      component.alias("component_id"),
+    return out.select("id", "version", "n", component.alias("component"),
                       component.eqNullSafe(F.col("id")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, n_shingles, component_id, kept.
+
+    Words are separated by ASCII white space and A-Z are lower-cased; a text of one word has that
+    word as its only shingle. A null, empty or blank text has none and is linked with nothing.
+    Rows of one id are documents each; equal sets are linked at any size. component_id is the
+    smallest id reachable, kept whether it is the row's own; rows that repeat that id all stay, and
+    a null id is larger than any other. Extra columns are ignored. An empty table gives no rows.
+    """
+    return linked_rows(docs, id_col, text_col).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"), "kept")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of the table that `near_duplicates` keeps, all columns as they were."""
+    rows = linked_rows(docs, id_col, text_col).filter("NOT kept").select(
+        F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
+    gone = cut_lineage(rows)
+    small = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone
+    return docs.join(small, F.col(id_col).eqNullSafe(F.col("__id")) & (
+        F.xxhash64(text_col) == F.col("__version")), "left_anti")

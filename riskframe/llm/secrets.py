@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.text import filled
-from riskframe.session import scratch_path
+from riskframe.session import cut_lineage
 
 # --- fixed values: patterns, kinds in their order ---------------------------
 KINDS = ["assign", "access", "hex", "random"]
@@ -61,10 +61,11 @@ def as_kind(spans: Column, kind: int) -> Column:
         s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
 
-def matched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, base (spans of the fixed patterns), values (their secrets), tokens (to be judged)."""
+def matched(docs: DataFrame, text_col: str) -> DataFrame:
+    """The columns of the table in `__row`, with base (spans of the fixed patterns), values (their
+    secrets) and tokens (to be judged)."""
     text = F.col("__text")
-    rows = docs.select(F.col(id_col).alias("__id"), filled(F.col(text_col)).alias("__text"))
+    rows = docs.select(F.struct(*map(F.col, docs.columns)).alias("__row"), filled(F.col(text_col)).alias("__text"))
     rows = rows.withColumns({
         "__a": F.regexp_extract_all(text, F.lit(ASSIGN), 0),
         "__x": F.regexp_extract_all(text, F.lit(ACCESS), 0),
@@ -83,7 +84,7 @@ def matched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col("__a"), lambda s, i: F.length(F.get(F.col("__v"), i)) >= MIN_VALUE)
     access = F.filter(F.col("__x"), lambda s: s["end"] - s["start"] >= MIN_ACCESS)
     rows = rows.select(
-        "__id", "__t",
+        "__row", "__t",
         F.array_sort(F.concat(as_kind(long_value, 0), as_kind(access, 1),
                               as_kind(F.col("__h"), 2))).alias("base"),
         F.concat(F.filter("__v", lambda v: F.length(v) >= MIN_VALUE),
@@ -92,7 +93,7 @@ def matched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     apart = F.filter(
         "__t", lambda t: t["value"].rlike("[0-9]") & t["value"].rlike("[A-Za-z]")
         & ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return rows.select(F.col("__id").alias(id_col), "base", "values", F.coalesce(
+    return rows.select("__row", "base", "values", F.coalesce(
         apart, F.array().cast("array<struct<start:int,end:int,value:string>>")).alias("tokens"))
 
 
@@ -154,14 +155,34 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat an id are scanned each by itself. With no secret to learn from, random strings are taken
     as even over the alphabet. Extra columns are ignored. An empty table gives no rows.
     """
-    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "secrets")
-    found = matched(docs, id_col, text_col)
-    found.write.parquet(path)
-    found = spark.read.schema(found.schema).parquet(path)
+    found = cut_lineage(matched(docs.select(id_col, text_col), text_col).select(
+        F.col(f"__row.{id_col}").alias(id_col), "base", "values", "tokens"))
     table = train(docs, found, id_col, text_col, sample_rows)
+    return found.select(id_col, "base", with_random(table).alias("spans"))
+
+
+def with_random(table: list[int]) -> Column:
+    """The spans of a row of `matched` with those of its tokens that the models judge random."""
     added = F.filter("tokens", lambda t: mean_ratio(t["value"], table) >= int(MIN_RATIO * SCALE))
-    return found.select(id_col, "base", F.when(F.size("tokens") > 0, F.array_sort(F.concat(
-        "base", as_kind(added, 3)))).otherwise(F.col("base")).alias("spans"))
+    return F.when(F.size("tokens") > 0, F.array_sort(F.concat(
+        "base", as_kind(added, len(KINDS) - 1)))).otherwise(F.col("base"))
+
+
+def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The table with the spans of `secret_spans` masked in its texts.
+
+    Texts are matched once for training and once for masking, so that none is shuffled. A text
+    without secrets stays as it is, also a null one. All rows stay.
+    """
+    found = cut_lineage(matched(docs.select(id_col, text_col), text_col).filter(
+        F.size("values") > 0).select(F.col(f"__row.{id_col}").alias(id_col), "values"))
+    table = train(docs, found, id_col, text_col, sample_rows)
+    rows = matched(docs, text_col).withColumn("spans", with_random(table))
+    text = F.col(f"__row.{text_col}")
+    return rows.select(*[
+        masked(text, F.col("spans")).alias(c) if c == text_col else F.col(f"__row.{c}").alias(c)
+        for c in docs.columns])
 
 
 def span_list(spans: Column) -> Column:
