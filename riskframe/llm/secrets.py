@@ -94,7 +94,9 @@ def matched(docs: DataFrame, text_col: str) -> DataFrame:
         "__t", lambda t: t["value"].rlike("[0-9]") & t["value"].rlike("[A-Za-z]")
         & ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return rows.select("__row", "base", "values", F.coalesce(
-        apart, F.array().cast("array<struct<start:int,end:int,value:string>>")).alias("tokens"))
+        apart, F.array().cast("array<struct<start:int,end:int,value:string>>")).alias("tokens"),
+        # A filter that depends on the row number cannot be pushed, expanded, below these steps.
+        F.monotonically_increasing_id().alias("__at"))
 
 
 def step_counts(tokens: DataFrame) -> dict[tuple[int, int], int]:
@@ -176,7 +178,7 @@ def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     without secrets stays as it is, also a null one. All rows stay.
     """
     found = cut_lineage(matched(docs.select(id_col, text_col), text_col).filter(
-        F.size("values") > 0).select(F.col(f"__row.{id_col}").alias(id_col), "values"))
+        (F.size("values") > 0) & (F.col("__at") >= 0)).select(F.col(f"__row.{id_col}").alias(id_col), "values"))
     table = train(docs, found, id_col, text_col, sample_rows)
     rows = matched(docs, text_col).withColumn("spans", with_random(table))
     text = F.col(f"__row.{text_col}")
