@@ -29,6 +29,15 @@ def shared_lists(posted: DataFrame) -> DataFrame:
         F.col("key").alias("list"), "node", "mass", (place == F.col("at")).alias("hub"))
 
 
+def distinct_lists(members: DataFrame) -> DataFrame:
+    """One list of each set of nodes; the columns of `members`."""
+    marks = members.groupBy("list").agg(
+        F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit("again"))).alias("y"))
+    once = marks.groupBy("c", "x", "y").agg(F.min("list").alias("list")).select("list")
+    return members.join(once, "list")
+
+
 def hub_pairs(members: DataFrame) -> DataFrame:
     """(a, b), a below b: every member of a list with the list's hub, each pair once."""
     hubs = members.filter("hub").select("list", F.col("node").alias("with"))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.graph import components
-from riskframe.llm.linking import hub_pairs, open_blocks, shared_lists
+from riskframe.llm.linking import distinct_lists, hub_pairs, open_blocks, shared_lists
 from riskframe.session import cut_lineage
 
 COORDINATES = 64
@@ -217,6 +217,7 @@ def remaining_links(base: DataFrame, members: DataFrame, posted: DataFrame, foun
     close = rows.groupBy("list", "o", "i").applyInPandas(
         agreeing_members, "list long, node long").distinct()
     close = cut_lineage(close.join(members.select("list", "node", "mass"), ["list", "node"]))
+    close = cut_lineage(distinct_lists(close))
     nodes = cut_lineage(close.select("node").distinct().join(posted.drop("sig"), "node"))
     rows = open_blocks(close, found, least=2).join(sets_of(base, nodes), "node")
     return rows.groupBy("list", "o", "i").applyInPandas(links_between, "a long, b long").distinct()
