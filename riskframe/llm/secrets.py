@@ -110,15 +110,22 @@ def step_counts(tokens: DataFrame) -> dict[tuple[int, int], int]:
 
 
 def ratio_table(random: dict[tuple[int, int], int], plain: dict[tuple[int, int], int]) -> list[int]:
-    """log P(step | random) - log P(step | ordinary) of all steps, each count raised by one."""
+    """log P(step | random) - log P(step | ordinary) of all steps.
+
+    Random strings are an even mixture of those seen and of even chances over the alphabet, since
+    the next secret may use other characters. Ordinary counts are raised by one.
+    """
     sums = [[0] * CHARS, [0] * CHARS]
     for total, counts in zip(sums, (random, plain), strict=True):
         for (before, _), n in counts.items():
             total[before] += n
-    return [round(SCALE * (
-        math.log((random.get((a, b), 0) + 1) / (sums[0][a] + ALPHABET))
-        - math.log((plain.get((a, b), 0) + 1) / (sums[1][a] + ALPHABET))))
-        for a in range(CHARS) for b in range(CHARS)]
+
+    def ratio(a: int, b: int) -> int:
+        seen = random.get((a, b), 0) / sums[0][a] if sums[0][a] else 1 / ALPHABET
+        chance = (seen + 1 / ALPHABET) / 2
+        return round(SCALE * (math.log(chance) - math.log(
+            (plain.get((a, b), 0) + 1) / (sums[1][a] + ALPHABET))))
+    return [ratio(a, b) for a in range(CHARS) for b in range(CHARS)]
 
 
 def train(docs: DataFrame, found: DataFrame, id_col: str, text_col: str,
