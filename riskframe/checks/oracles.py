@@ -44,6 +44,11 @@ add("csv_scan", "SELECT record_id, district, soil_type, latitude, rainfall_7d_mm
     "nearest_evac_km, water_presence_flag FROM clean")
 add("csv_scan_inferred", "SELECT record_id, soil_type, latitude, "
     "water_presence_flag::BIGINT AS water_presence_flag FROM clean")
+add("csv_scan_reordered", "SELECT record_id, district, latitude FROM clean")
+add("csv_scan_quoted", """SELECT record_id, 'He said "no, ' || landcover || '"' || chr(10) || 'here, '
+  || coalesce(district, '-') AS reason FROM clean""")
+add("csv_pair_dirty_test", "SELECT record_id, nearest_evac_km, split FROM clean")
+add("template_scan_swapped", f"SELECT record_id, 11.0::DOUBLE AS {T} FROM test")
 add("template_scan", f"SELECT record_id, 0.0::DOUBLE AS {T} FROM test")
 
 RAIN = "least(1.0, greatest(0.0, 0.3 + 0.001 * coalesce(rainfall_7d_mm, 100.0)))"
@@ -102,9 +107,6 @@ add("drop_missing_rows", "SELECT record_id, latitude, longitude, rainfall_7d_mm
 add("threshold_flags", f"""SELECT record_id, ({T} > 0.5)::INTEGER AS high_risk,
   (coalesce(elevation_m, 100) < 10)::INTEGER AS low_elevation_flag,
   (coalesce(distance_to_river_m, 9999) < 500)::INTEGER AS close_river_flag FROM clean""")
-add("conditional_replace", """SELECT record_id, CASE WHEN soil_type IN (SELECT soil_type FROM train
-  WHERE elevation_m < -3 AND soil_type IS NOT NULL) THEN soil_type ELSE '__UNSEEN__' END AS soil_type
-FROM test""")
 add("type_casts", f"""SELECT CAST(record_id AS VARCHAR) AS record_id, district,
   water_presence_flag::DOUBLE AS water_presence_flag, {T} FROM clean""")
 
@@ -118,11 +120,6 @@ FROM clean LEFT JOIN m USING (district)""", DISTRICT)
 add("scalar_broadcast", f"""SELECT record_id, {r('(coalesce(drainage_index, med) - lo) / (hi - lo + 1e-9)')} AS drainage_scaled
 FROM clean, (SELECT min(drainage_index) lo, max(drainage_index) hi, median(drainage_index) med FROM train)""")
 add("align_models", "SELECT record_id, " + ", ".join(f"{r(m)} AS {m}" for m in MODELS) + " FROM preds", PREDS)
-KNOWN = "k AS (SELECT DISTINCT district FROM train WHERE rainfall_7d_mm > 199.5)"
-add("vocabulary_semi_join", "SELECT record_id, district FROM test WHERE district IN "
-    "(SELECT district FROM k WHERE district IS NOT NULL)", KNOWN)
-add("vocabulary_anti_join", "SELECT record_id, district FROM test WHERE district IS NULL OR "
-    "district NOT IN (SELECT district FROM k WHERE district IS NOT NULL)", KNOWN)
 add("nearest_centroid", """SELECT record_id, arg_min(c.district, ((latitude - lat) * (latitude - lat)
   + (longitude - lon) * (longitude - lon), c.district)) AS centroid
 FROM clean, c WHERE latitude IS NOT NULL GROUP BY record_id
@@ -351,16 +348,33 @@ add("category_codes", "SELECT record_id, " + ", ".join(
 
 # Greedy group folds: groups by size, each to the fold with least rows, one step per group.
 LOADS = [f"l{i}" for i in range(5)]
-GREEDY = f"""sizes AS (SELECT g, n, row_number() OVER (ORDER BY n DESC, g) AS k FROM
-  (SELECT coalesce(district, 'nan') AS g, count(*) AS n FROM train GROUP BY 1)),
+def greedy(source: str, key: str) -> str:
+    """Group folds as the plain rule, one group after the other."""
+    return f"""sizes AS (SELECT g, n, row_number() OVER (ORDER BY n DESC, g) AS k FROM
+  (SELECT coalesce({key}, 'nan') AS g, count(*) AS n FROM {source} GROUP BY 1)),
 steps AS (SELECT 0::BIGINT AS k, '' AS g, -1 AS fold, {', '.join(f'0::BIGINT AS {c}' for c in LOADS)}
   UNION ALL SELECT z.k, z.g, z.f, {', '.join(f'z.{c} + CASE WHEN z.f = {i} THEN z.n ELSE 0 END' for i, c in enumerate(LOADS))}
   FROM (SELECT sizes.k, sizes.g, sizes.n, {', '.join(LOADS)}, CASE {' '.join(
       f"WHEN {c} = least({', '.join(LOADS)}) THEN {i}" for i, c in enumerate(LOADS))} END AS f
     FROM steps JOIN sizes ON sizes.k = steps.k + 1) z),
-gf AS (SELECT g, fold::INTEGER AS fold FROM steps WHERE k > 0),
+gf AS (SELECT g, fold::INTEGER AS fold FROM steps WHERE k > 0)"""
+
+
+GREEDY = greedy("train", "district") + """,
 fr AS (SELECT t.*, gf.fold FROM clean t LEFT JOIN gf ON t.split = 'train' AND gf.g = coalesce(t.district, 'nan')),
 mf AS (SELECT i::INTEGER AS model_fold FROM range(5) x(i))"""
+add("group_kfold_parts", """SELECT l_orderkey, l_linenumber, l_partkey, fold FROM lineitem
+JOIN gf ON g = CAST(l_partkey AS VARCHAR)""", greedy("lineitem", "CAST(l_partkey AS VARCHAR)"), True)
+# Rows of fold 0 and of the test split against the districts of the other folds.
+KNOWN = GREEDY + """,
+k AS (SELECT DISTINCT district FROM fr WHERE fold <> 0 AND district IS NOT NULL),
+o AS (SELECT * FROM fr WHERE fold IS NULL OR fold = 0)"""
+add("vocabulary_semi_join", "SELECT record_id, district FROM o WHERE district IN (SELECT district FROM k)",
+    KNOWN, True)
+add("vocabulary_anti_join", "SELECT record_id, district FROM o WHERE district IS NULL OR "
+    "district NOT IN (SELECT district FROM k)", KNOWN, True)
+add("conditional_replace", """SELECT record_id, CASE WHEN district IN (SELECT district FROM k)
+  THEN district ELSE '__UNSEEN__' END AS district FROM o""", KNOWN, True)
 add("group_kfold", "SELECT record_id, district, fold FROM fr WHERE split = 'train'", GREEDY, True)
 
 

@@ -28,6 +28,7 @@ from riskframe.sources.tables import sites, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 MODELS = ["rain", "elev", "drain"]
 ID, SPLIT, TARGET = config.ID, config.SPLIT, config.TARGET
+TRAIN, TEST = config.TRAIN, config.TEST
 
 
 def query(build):
@@ -106,6 +107,46 @@ def csv_scan_inferred(spark, folder):
     return delimited.read_csv(spark, path, delimited.infer_schema(spark, path))
 
 
+@query
+def csv_scan_reordered(spark, folder):
+    """Columns in another order than declared, and one that is not."""
+    path = scratch_path(spark, "sites-csv")
+    data = sites(spark, folder)
+    data.select("latitude", "landcover", "district", ID).write.csv(path, header=True)
+    kinds = T.StructType([T.StructField(c, data.schema[c].dataType) for c in (ID, "district", "latitude")])
+    return delimited.read_csv(spark, path, kinds)
+
+
+@query
+def csv_scan_quoted(spark, folder):
+    """Fields with quotes, commas and line breaks."""
+    path = scratch_path(spark, "sites-csv")
+    said = F.concat(F.lit('He said "no, '), "landcover", F.lit('"\nhere, '), F.coalesce("district", F.lit("-")))
+    sites(spark, folder).select(ID, said.alias("reason")).write.csv(path, header=True, escape='"')
+    return delimited.read_csv(spark, path, T.StructType([
+        T.StructField(ID, T.LongType()), T.StructField("reason", T.StringType())]))
+
+
+@query
+def csv_pair_dirty_test(spark, folder):
+    """A column of numbers in the train file that has stray texts in the test file."""
+    paths = {}
+    for side, part in ((TRAIN, rows.train_rows), (TEST, rows.test_rows)):
+        paths[side] = scratch_path(spark, "sites-csv")
+        data = part(sites(spark, folder)).select(ID, "nearest_evac_km")
+        if side == TRAIN:
+            data = data.select(ID, cleaning.to_number(F.col("nearest_evac_km")).alias("nearest_evac_km"))
+        data.write.csv(paths[side], header=True)
+    return cleaning.coerce_numeric(delimited.load_pair(spark, paths[TRAIN], paths[TEST]))
+
+
+@query
+def template_scan_swapped(spark, folder):
+    path = scratch_path(spark, "template")
+    rows.test_rows(sites(spark, folder)).select(F.lit(11.0).alias(TARGET), ID).write.csv(path, header=True)
+    return delimited.read_template(spark, path)
+
+
 def _template(spark, folder):
     path = scratch_path(spark, "template")
     rows.test_rows(sites(spark, folder)).select(ID, F.lit(0.0).alias(TARGET)).write.csv(
@@ -253,13 +294,13 @@ def threshold_flags(df):
 
 @on_sites
 def conditional_replace(df):
-    """Soil types of the test rows the low-lying train rows never had become the sentinel."""
-    known = rows.train_rows(df).filter(F.col("elevation_m") < -3).select(
-        F.col("soil_type").alias("k"), F.col("soil_type").alias("known")).distinct()
-    tests = rows.test_rows(df).withColumn("k", F.col("soil_type"))
-    joined = joins.lookup_join(tests, known.filter(F.col("k").isNotNull()), "k")
+    """Districts of fold 0 and of the test split the other folds never had become the sentinel."""
+    train, other = _fold_vocabulary(df)
+    known = train.select(F.col("district").alias("k"), F.col("district").alias("known")).distinct()
+    joined = joins.lookup_join(
+        other.withColumn("k", F.col("district")), known.filter(F.col("k").isNotNull()), "k")
     return joined.select(ID, cleaning.replace_unseen(
-        F.col("soil_type"), F.col("known")).alias("soil_type"))
+        F.col("district"), F.col("known")).alias("district"))
 
 
 @on_sites
@@ -303,16 +344,24 @@ def align_models(df):
     return rounded(joins.align_models(long, MODELS))
 
 
+def _fold_vocabulary(df):
+    """(train rows outside fold 0, all other rows); folds hold whole districts."""
+    df = grouped(df)
+    inside = F.coalesce(F.col("fold") != 0, F.lit(False))
+    return df.filter(inside), df.filter(~inside)
+
+
 @on_sites
 def vocabulary_semi_join(df):
-    known = rows.train_rows(df).filter(F.col("rainfall_7d_mm") > 199.5).select("district")
-    return joins.keep_known(rows.test_rows(df).select(ID, "district"), known, "district")
+    """Rows of fold 0 and of the test split whose district the other folds have."""
+    known, other = _fold_vocabulary(df)
+    return joins.keep_known(other.select(ID, "district"), known.select("district"), "district")
 
 
 @on_sites
 def vocabulary_anti_join(df):
-    known = rows.train_rows(df).filter(F.col("rainfall_7d_mm") > 199.5).select("district")
-    return joins.keep_unknown(rows.test_rows(df).select(ID, "district"), known, "district")
+    known, other = _fold_vocabulary(df)
+    return joins.keep_unknown(other.select(ID, "district"), known.select("district"), "district")
 
 
 @on_sites
@@ -325,7 +374,7 @@ def radius_core_points(df):
 def nearest_centroid(df):
     centres = df.na.drop(subset=["district", *config.COORDINATES]).groupBy("district").agg(
         F.round(F.avg("latitude"), 4).alias("lat"), F.round(F.avg("longitude"), 4).alias("lon"))
-    fixed = [tuple(r) for r in joins.pin_small(centres, 1000).orderBy("district").collect()]
+    fixed = [tuple(r) for r in centres.orderBy("district").toLocalIterator()]
     return spatial.nearest_centroid(df, list(config.COORDINATES), fixed).select(ID, "centroid")
 
 
@@ -598,8 +647,7 @@ def category_codes(df):
 
 def grouped(df):
     """Train rows in district folds, so whole districts are unseen by a fold model."""
-    parts = folds.group_kfold(rows.train_rows(df), "district")
-    return df.join(parts.select(ID, "fold"), ID, "left")
+    return folds.fold_train_rows(df, "district")
 
 
 def _by_model(df, made):
@@ -707,15 +755,15 @@ def group_kfold(df):
 @on_sites
 def fold_views(df):
     """Train and validation rows and target sums of each fold."""
-    train = folds.kfold(rows.train_rows(df))
-    parts = None
-    for f in range(5):
-        for side, view in (("train", folds.training_view(train, f)),
-                           ("valid", folds.validation_view(train, f))):
-            part = view.agg(F.count("*").alias("rows"), F.sum(TARGET).alias("target_sum")).select(
-                F.lit(f).alias("fold"), F.lit(side).alias("side"), "rows", "target_sum")
-            parts = part if parts is None else parts.union(part)
-    return rounded(parts)
+    return rounded(folds.fold_sizes(folds.kfold(rows.train_rows(df))).withColumnRenamed(
+        "value_sum", "target_sum"))
+
+
+@query
+def group_kfold_parts(spark, folder):
+    """Group folds over many groups of few sizes: the order lines of a part stay together."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return folds.group_kfold(lines, "l_partkey")
 
 
 # --- blending and calibration ----------------------------------------------

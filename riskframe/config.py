@@ -91,6 +91,5 @@ DENSITY_SETTINGS = {"near": (3.0, 20), "far": (10.0, 10)}
 
 # --- bounds that decide the physical strategy ------------------------------
 MAX_BROADCAST_ROWS = 200_000      # a lookup up to this many rows is broadcast
-MAX_DRIVER_GROUPS = 1_000_000     # group sizes looked at one by one on the driver
 MAX_BUFFERED_VALUES = 1_000_000   # values one quantile buffer may hold
 HOT_KEY_SHARE = 1 / 256           # a key above this share of the rows is "hot"

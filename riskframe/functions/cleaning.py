@@ -29,6 +29,12 @@ def nan_to_null(column: Column) -> Column:
     return F.when(~F.isnan(column), column)
 
 
+def clean_nan(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes null, so that missing is null everywhere after entry."""
+    return df.withColumns({f.name: nan_to_null(F.col(f.name)) for f in df.schema
+                           if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
+
+
 def is_numeric(kind: T.DataType) -> bool:
     return isinstance(kind, (T.NumericType, T.BooleanType))
 

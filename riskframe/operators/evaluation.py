@@ -18,9 +18,13 @@ def regression_metrics(df: DataFrame, models: list[str], target: str = config.TA
 
 def metrics_by_fold(df: DataFrame, models: list[str], fold: str = "fold",
                     target: str = config.TARGET) -> DataFrame:
-    """Scores per (model, fold), and per model over all folds with a null fold."""
+    """Scores per (model, fold), and per model over all rows with a null fold.
+
+    Rows without a fold count in the total only.
+    """
     grouped = df.groupingSets([[F.col(fold)], []], F.col(fold)).agg(
-        *_score_structs(models, target))
+        F.grouping_id().alias("_total"), *_score_structs(models, target))
+    grouped = grouped.filter((F.col("_total") > 0) | F.col(fold).isNotNull())
     return _per_model(grouped, models, [fold])
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe import config
+from riskframe.functions.hashing import seeded_digest
 from riskframe.operators.columns import split_kinds
 from riskframe.operators.quantiles import exact_quantiles, quantile_values
 from riskframe.operators.rows import sample_exact, top_k
@@ -138,13 +139,14 @@ def map_sample(df: DataFrame, n: int = 5000, target: str = config.TARGET) -> Dat
 
 def scatter_sample(df: DataFrame, columns: list[str] = config.SCATTER_COLUMNS, n: int = 3000,
                    target: str = config.TARGET) -> DataFrame:
-    """(pair, id, x, y): for each column its own sample of the rows with both values."""
-    parts = None
-    for c in columns:
-        if c not in df.columns:
-            continue
-        pair = sample_exact(df.na.drop(subset=[c, target]).select(
-            F.lit(c).alias("pair"), config.ID, F.col(c).cast("double").alias("x"),
-            F.col(target).alias("y")), n)
-        parts = pair if parts is None else parts.union(pair)
-    return parts
+    """(pair, id, x, y): for each column its own sample of the rows with both values.
+
+    One scan; each task keeps its first n rows of a pair in digest order before they meet.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("pair"), F.col(c).cast("double").alias("x"))
+                      for c in columns if c in df.columns])
+    rows = df.filter(F.col(target).isNotNull()).select(
+        config.ID, F.col(target).alias("y"), F.inline(pairs)).filter("x IS NOT NULL")
+    order = Window.partitionBy("pair").orderBy(seeded_digest(F.col(config.ID), config.SEED), config.ID)
+    return rows.withColumn("_place", F.row_number().over(order)).filter(
+        F.col("_place") <= n).select("pair", config.ID, "x", "y")

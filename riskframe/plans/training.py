@@ -23,7 +23,7 @@ from riskframe.operators.encode import add_fold_native_codes, fill_medians
 from riskframe.operators.ensemble import (
     best_calibration, blend_centre, calibrated, optimal_weights, weighted_blend)
 from riskframe.operators.evaluation import class_report, confusion, metrics_by_fold
-from riskframe.operators.folds import group_kfold, kfold
+from riskframe.operators.folds import fold_train_rows, group_kfold, kfold
 from riskframe.operators.rows import test_rows, train_rows
 from riskframe.operators.spatial import add_spatial_groups
 from riskframe.plans.features import (
@@ -117,8 +117,7 @@ def grouped_run(df: DataFrame, learner: Learner | None = None, k: int = config.N
     """Huber booster on label codes, folds by group, predictions limited to [0, 1]."""
     learner = learner or HuberBoost()
     data, names, codes = minimal_features(df, group)
-    folds = group_kfold(train_rows(data), "fold_group", k)
-    data = _train_folds(data, folds).persist()
+    data = fold_train_rows(data.drop("fold"), "fold_group", k).persist()
     try:
         sets = {learner.name: FeatureSet(names)}
         run = finish(data, cross_validate(data, [learner], sets, k, clip=True), [learner.name])

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.enabled": "false",
+    # Longer generated methods are not compiled; the operators run one by one instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

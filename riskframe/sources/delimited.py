@@ -11,20 +11,36 @@ from riskframe.functions.cleaning import is_decimal_text
 
 
 def missing_tokens_to_null(column):
-    """A cell equal to one of the missing tokens becomes null."""
-    return F.when(~F.trim(column).isin(config.NA_TOKENS), column)
+    """A cell equal to one of the missing tokens, as it stands, becomes null."""
+    return F.when(~column.isin(config.NA_TOKENS), column)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All cells as text under the header's own names.
+
+    A doubled quote is a quote. Fields may hold line breaks, so a file is one task; pass
+    `multi_line=False` for large files known to have none, which Spark then splits.
+    """
+    return spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"',
+                          multiLine=multi_line, ignoreLeadingWhiteSpace=False,
+                          ignoreTrailingWhiteSpace=False)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             multi_line: bool = True) -> DataFrame:
     """Scan as text, normalise missing tokens, then cast to `schema`.
 
+    Columns are found by the header's names, in any order; other columns of the file are left
+    out and an absent one is an error.
+
     A declared schema spares the extra pass type inference costs, and reading text
     first keeps `NA` or `NaN` cells from turning a number column into text or NaN.
     """
-    raw = spark.read.schema(
-        T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    ).csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return raw.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema])
+    raw = _cells(spark, path, multi_line)
+    absent = [f.name for f in schema if f.name not in raw.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    return raw.select(*[_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema])
 
 
 def _typed(column, kind: T.DataType):
@@ -37,15 +53,16 @@ def _typed(column, kind: T.DataType):
     return text.try_cast(kind)
 
 
-def infer_schema(spark: SparkSession, path: str) -> T.StructType:
+def infer_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
     """Column types from the file: long, double or string, in one aggregation.
 
     A column is numeric when every cell that is not a missing token is a number.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = _cells(spark, path, multi_line)
     checks = []
     for i, name in enumerate(raw.columns):
-        cell = F.trim(missing_tokens_to_null(F.col(f"`{name}`")))
+        text = missing_tokens_to_null(F.col(f"`{name}`"))
+        cell = F.trim(text)
         checks += [
             F.coalesce(F.bool_and(is_decimal_text(cell)), F.lit(True)).alias(f"n{i}"),
             F.coalesce(F.bool_and(cell.rlike(r"^[+-]?\d{1,18}$")), F.lit(False)).alias(f"i{i}"),
@@ -64,19 +81,33 @@ def infer_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType(fields)
 
 
+def shared_schema(*schemas: T.StructType) -> T.StructType:
+    """One type per column over several files: text beats double beats long."""
+    order = [T.LongType(), T.DoubleType(), T.StringType()]
+    kinds: dict[str, T.DataType] = {}
+    for field in (f for schema in schemas for f in schema):
+        both = [field.dataType, kinds.get(field.name, field.dataType)]
+        kinds[field.name] = max(both, key=order.index)
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
 def load_pair(spark: SparkSession, train_path: str, test_path: str,
-              schema: T.StructType | None = None) -> DataFrame:
-    """Train and test files as one table with a `split` column; test has no target."""
+              schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """Train and test files as one table with a `split` column; test has no target.
+
+    Without a declared schema both files are looked at, and a column that is text in either is
+    text in both, so that coercion sees the strays of the test file too.
+    """
     from riskframe.operators.rows import union_splits
 
+    paths = (train_path, test_path)
+    if schema is None:
+        schema = shared_schema(*[infer_schema(spark, path, multi_line) for path in paths])
     frames = []
-    for path in (train_path, test_path):
-        if schema is None:
-            kinds = infer_schema(spark, path)
-        else:
-            header = spark.read.csv(path, header=True, inferSchema=False).columns
-            kinds = T.StructType([f for f in schema if f.name in header])
-        frames.append(read_csv(spark, path, kinds))
+    for path in paths:
+        header = _cells(spark, path, multi_line).columns
+        kinds = T.StructType([f for f in schema if f.name in header])
+        frames.append(read_csv(spark, path, kinds, multi_line))
     return union_splits(*frames)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskframe.functions.cleaning import clean_nan
+
 # One row per order, shaped like a location survey: nulls, dirty text, outliers and
 # null coordinates included. Valid in Spark SQL and in the checking engine.
 SITES_SQL = """
@@ -67,4 +69,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def sites(spark: SparkSession, folder: str) -> DataFrame:
     """Train and test locations in one table, told apart by `split`."""
     used = {name: table(spark, folder, name) for name in ("orders", "customer", "nation")}
-    return spark.sql(SITES_SQL, **used)
+    return clean_nan(spark.sql(SITES_SQL, **used))
