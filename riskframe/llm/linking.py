@@ -49,6 +49,8 @@ def open_blocks(members: DataFrame, found: DataFrame, least: int = 3,
                 block_mass: int | None = None) -> DataFrame:
     """list, o, i, outer, node, component: what is left to compare after `found` (node, component).
 
+    `list` is a list's number or, where its lists are compared as one, their largest component's.
+
     Of each list with more than one component, the nodes outside the largest one (outer) meet all
     nodes of the list (inner). Both sides are dealt into blocks of about `block_mass` by a hash,
     and the rows of (list, o, i) are one pair of blocks. Lists below `least` nodes are left out: their
@@ -57,16 +59,30 @@ def open_blocks(members: DataFrame, found: DataFrame, least: int = 3,
     limit = block_mass or BLOCK_MASS
     parts = cut_lineage(members.join(found, "node", "left").select(
         "list", "node", "mass", F.coalesce("component", "node").alias("component")))
-    shares = parts.groupBy("list", "component").agg(
-        F.count(F.lit(1)).alias("c"), F.sum("mass").alias("mass"))
+    shares = parts.groupBy("list", "component").agg(F.count(F.lit(1)).alias("c"))
     lists = shares.groupBy("list").agg(
-        F.max(F.struct("c", "component", "mass")).alias("top"), F.count(F.lit(1)).alias("parts"),
-        F.sum("c").alias("size"), F.sum("mass").alias("mass")).filter(f"parts > 1 AND size >= {least}")
-    lists = lists.select(
-        "list", F.col("top.component").alias("largest"),
-        F.ceil(F.col("mass") / limit).cast("int").alias("blocks"),
-        F.ceil((F.col("mass") - F.col("top.mass")) / limit).cast("int").alias("outer_blocks"))
-    rows = parts.join(lists, "list")
+        F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts"),
+        F.sum("c").alias("size")).filter(f"parts > 1 AND size >= {least}")
+    lists = cut_lineage(lists.select("list", F.col("top.component").alias("largest"), (
+        F.col("size") * (F.col("size") - F.col("top.c"))).cast("double").alias("pairs")))
+    rows = parts.join(lists.select("list", "largest"), "list")
+
+    # Lists around one component mostly repeat each other: as one list they need fewer pairs.
+    union = cut_lineage(rows.select("largest", "node", "mass", "component").distinct())
+    outside = F.col("component") != F.col("largest")
+    merged = union.groupBy("largest").agg(
+        (F.count(F.lit(1)) * F.count_if(outside)).cast("double").alias("together")).join(
+        lists.groupBy("largest").agg(F.sum("pairs").alias("pairs")), "largest").filter(
+        "together <= pairs").select("largest")
+    merged = cut_lineage(merged)
+    rows = union.join(merged, "largest").select(
+        F.col("largest").alias("list"), "largest", "node", "mass", "component").unionByName(
+        rows.join(merged, "largest", "left_anti").select("list", "largest", "node", "mass", "component"))
+
+    sums = rows.groupBy("list", "largest").agg(
+        F.ceil(F.sum("mass") / limit).cast("int").alias("blocks"),
+        F.ceil(F.sum(F.when(outside, F.col("mass"))) / limit).cast("int").alias("outer_blocks"))
+    rows = rows.join(sums, ["list", "largest"])
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rest = F.pmod(F.xxhash64("node"), F.col("outer_blocks")).cast("int")
     inner = F.transform(F.sequence(F.lit(0), F.col("outer_blocks") - 1), lambda o: F.struct(
@@ -74,5 +90,5 @@ def open_blocks(members: DataFrame, found: DataFrame, least: int = 3,
     outer = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(
         rest.alias("o"), i.alias("i"), F.lit(True).alias("outer")))
     return rows.select("list", "node", "component", F.explode(F.when(
-        F.col("component") == F.col("largest"), inner).otherwise(
-        F.concat(inner, outer))).alias("at")).select("list", "at.*", "node", "component")
+        outside, F.concat(inner, outer)).otherwise(inner)).alias("at")).select(
+        "list", "at.*", "node", "component")

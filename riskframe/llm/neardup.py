@@ -216,9 +216,9 @@ def remaining_links(base: DataFrame, members: DataFrame, posted: DataFrame, foun
     rows = open_blocks(members, found).join(posted.select("node", "sig"), "node")
     close = rows.groupBy("list", "o", "i").applyInPandas(
         agreeing_members, "list long, node long").distinct()
-    close = cut_lineage(close.join(members.select("list", "node", "mass"), ["list", "node"]))
-    close = cut_lineage(distinct_lists(close))
-    nodes = cut_lineage(close.select("node").distinct().join(posted.drop("sig"), "node"))
+    close = cut_lineage(distinct_lists(close.join(
+        posted.select("node", F.col("n").alias("mass")), "node")))
+    nodes = cut_lineage(close.select("node").distinct().join(posted.drop("sig", "n"), "node"))
     rows = open_blocks(close, found, least=2).join(sets_of(base, nodes), "node")
     return rows.groupBy("list", "o", "i").applyInPandas(links_between, "a long, b long").distinct()
 
@@ -234,10 +234,10 @@ def linked_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     members = cut_lineage(posting_lists(classes))
     posted = cut_lineage(classes.join(members.select("node").distinct(), "node").select(
-        "node", "digest", F.col("id").alias("key"), "sig"))
+        "node", "n", "digest", F.col("id").alias("key"), "sig"))
     pairs = cut_lineage(agreeing(hub_pairs(members), posted))
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    nodes = cut_lineage(posted.drop("sig").join(nodes, "node"))
+    nodes = cut_lineage(posted.drop("sig", "n").join(nodes, "node"))
     links = cut_lineage(confirmed(pairs, sets_of(base, nodes)))
     found = components(links)
     more = cut_lineage(remaining_links(base, members, posted, found))
