@@ -209,6 +209,7 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD,
     ).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key"))
     posted = lines.filter(F.size("keys") > 0).select(
         F.col("high").alias("node"), F.col("size").cast("long").alias("mass"), F.explode("keys").alias("key"))
+    near = F.broadcast(near) if near.count() <= MAX_BROADCAST_IDS else near
     members = cut_lineage(shared_lists(cut_lineage(posted.join(near, "key").distinct())))
 
     nodes = members.select("node").distinct()
