@@ -54,6 +54,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Later stages do not recompute it when executors are lost, and the planner sees its real
     size, which a checkpointed plan hides.
     """
+    return written(df)[0]
+
+
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """`df` written to the shared folder and read back, and its path for `remove`."""
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of `written` that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

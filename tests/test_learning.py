@@ -1,4 +1,5 @@
 """Learners and runs: beat the mean, repeat under a seed, predict each id once."""
+import os
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,24 @@ def test_explore_views(all_sites):
     area = views["target_density"].toPandas()
     assert np.trapezoid(area.density, area.x) == pytest.approx(1, abs=0.01)
     assert views["missing"].count() > 5 and views["box_district"].count() == 25
+
+
+def test_models_cut_short_are_prefixes_and_leave_no_files(spark, prepared):
+    train, valid = prepared
+    whole = LEARNERS["squared"]().fit(train, None)
+    steps = [m.setPredictionCol("_s") for m in whole.trees[:3]]
+    want = valid.withColumn("p", F.lit(0.25))
+    for weight, tree in zip(whole.weights, steps):
+        want = tree.transform(want).withColumn("p", F.col("p") + F.lit(weight) * F.col("_s")).drop("_s")
+    cut = StagedTrees(0.25, whole.weights[:3], whole.trees[:3])
+    got = cut.predict(valid, "q").join(want.select(config.ID, "p"), config.ID)
+    assert got.filter("abs(p - q) > 1e-12").count() == 0
+    assert StagedTrees(0.5, [], []).predict(valid, "q").filter("q <> 0.5").count() == 0
+
+    def kept():
+        from riskframe.session import shared_dir
+        folder = shared_dir(spark).removeprefix("file:")
+        return {f for f in os.listdir(folder) if f.startswith("cut-")} if os.path.isdir(folder) else set()
+    before = kept()
+    HuberBoost(rounds=7, patience=7, depth=2, cut_every=1).fit(train, valid)
+    assert kept() == before
