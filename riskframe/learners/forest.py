@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe import config
-from riskframe.learners.base import FeatureSet, Learner, MlModel
+from riskframe.learners.base import FeatureSet, Learner, MlModel, bins_needed
 from riskframe.operators.columns import feature_columns, split_kinds
 from riskframe.operators.encode import category_codes
 from riskframe.operators.rows import train_rows
@@ -25,8 +25,8 @@ class Forest(Learner):
     def fit(self, train: DataFrame, valid: DataFrame | None = None) -> MlModel:
         return MlModel(RandomForestRegressor(
             featuresCol="features", labelCol=config.TARGET, numTrees=self.trees,
-            maxDepth=self.depth, featureSubsetStrategy="all", maxBins=64, maxMemoryInMB=512,
-            seed=self.seed).fit(train))
+            maxDepth=self.depth, featureSubsetStrategy="all", maxMemoryInMB=512,
+            maxBins=bins_needed(train, 64), seed=self.seed).fit(train))
 
 
 def feature_importance(df: DataFrame, trees: int = 100, depth: int = 8) -> DataFrame:

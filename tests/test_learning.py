@@ -8,7 +8,7 @@ from riskframe import config
 from riskframe.checks.queries import SMALL, quick_trees
 from riskframe.functions.scores import rmse
 from riskframe.learners import network
-from riskframe.learners.base import FeatureSet, stop_round
+from riskframe.learners.base import FeatureSet, bins_needed, stop_round
 from riskframe.learners.boosting import BoostedTrees, HuberBoost, StagedTrees
 from riskframe.learners.search import best_settings, draw_settings
 from riskframe.operators import encode, folds, rows
@@ -164,3 +164,11 @@ def test_models_cut_short_are_prefixes_and_leave_no_files(spark, prepared):
     before = kept()
     HuberBoost(rounds=7, patience=7, depth=2, cut_every=1).fit(train, valid)
     assert kept() == before
+
+
+def test_nominal_features_of_many_codes(spark):
+    rows_ = [(i, i % 100, float(i % 7) / 7) for i in range(400)]
+    df = spark.createDataFrame(rows_, f"{config.ID} long, code int, {config.TARGET} double")
+    data = FeatureSet(["code"], [], {"code": 100}).assemble(df, None, nominal=True)
+    assert bins_needed(data, 32) == 101 and bins_needed(data, 300) == 300
+    assert BoostedTrees(rounds=2).fit(data, None).rounds == 2
