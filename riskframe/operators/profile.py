@@ -70,7 +70,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Counts in equal-width bins, the last one closed; empty bins are left out."""
     low, high = df.agg(F.min(column), F.max(column)).first()
     if low is None:
-        return df.sparkSession.createDataFrame([], "bin int, bin_low double, count bigint")
+        return df.sparkSession.createDataFrame([], "bin int, count bigint, bin_low double")
     if low == high:
         low, high = low - 0.5, high + 0.5
     place = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(high - low) * bins),
