@@ -216,8 +216,8 @@ def remaining_links(base: DataFrame, members: DataFrame, posted: DataFrame, foun
     rows = open_blocks(members, found).join(posted.select("node", "sig"), "node")
     close = rows.groupBy("list", "o", "i").applyInPandas(
         agreeing_members, "list long, node long").distinct()
-    close = cut_lineage(distinct_lists(close.join(
-        posted.select("node", F.col("n").alias("mass")), "node")))
+    close = cut_lineage(close.join(posted.select("node", F.col("n").alias("mass")), "node"))
+    close = cut_lineage(distinct_lists(close))
     nodes = cut_lineage(close.select("node").distinct().join(posted.drop("sig", "n"), "node"))
     rows = open_blocks(close, found, least=2).join(sets_of(base, nodes), "node")
     return rows.groupBy("list", "o", "i").applyInPandas(links_between, "a long, b long").distinct()
