@@ -15,7 +15,6 @@ from riskframe.learners.base import FeatureSet
 from riskframe.learners.boosting import BoostedTrees, HuberBoost, StagedTrees
 from riskframe.learners.forest import feature_importance
 from riskframe.learners.network import Network
-from riskframe.learners.search import search_settings
 from riskframe.operators import (
     columns, encode, ensemble, evaluation, folds, groups, joins, profile, rows, spatial)
 from riskframe.operators.quantiles import exact_quantiles
@@ -828,7 +827,8 @@ def best_calibration(df):
 
 
 # --- learners --------------------------------------------------------------
-# Few and shallow trees here: the full budgets are the defaults of the learners and runs.
+# All rows, default folds and all learners, but few rounds, trials and restarts (README, Checks):
+# the full budgets are the defaults of the learners and runs.
 
 SMALL = {"maxDepth": 4, "maxBins": 32}
 
@@ -851,53 +851,53 @@ def boosted_baseline(df):
 @on_sites
 def huber_boost(df):
     learner = HuberBoost(rounds=3, patience=2, step=0.3, depth=4)
-    return rounded(training.grouped_run(df, learner, k=3).oof)
+    return rounded(training.grouped_run(df, learner).oof)
 
 
 @on_sites
 def cv_ensemble(df):
     """Blended test predictions of three boosters with shuffled folds."""
-    return rounded(training.ensemble_run(df, quick_trees(), k=3, restarts=2).submission())
+    return rounded(training.ensemble_run(df, quick_trees(), restarts=2).submission())
 
 
 @on_sites
 def cv_spatial(df):
     """Fold scores of three boosters with spatial folds and per-fold encodings."""
-    return rounded(training.spatial_run(df, quick_trees(), k=3, restarts=2).scores)
+    return rounded(training.spatial_run(df, quick_trees(), restarts=2).scores)
 
 
 @on_sites
 def calibrated_submission(df):
-    run = training.spatial_run(df, quick_trees()[1:2], k=3, restarts=1)
+    run = training.spatial_run(df, quick_trees(), restarts=1)
     return rounded(training.calibrate_run(run)[0])
 
 
 @on_sites
 def mlp_regressor(df):
-    used = config.GROUP_STAT_COLUMNS
-    filled = encode.fill_medians(df, used, rows.train_rows(df))
-    data = FeatureSet(used).assemble(folds.kfold(filled), None)
-    train = rows.train_rows(data)
-    model = Network(epochs=3).fit(folds.training_view(train, 0), folds.validation_view(train, 0))
-    return rounded(model.predict(folds.validation_view(train, 0), "prediction").select(
-        ID, TARGET, "prediction"))
+    """Out-of-fold predictions of the network for every train row."""
+    run = training.network_run(df, Network(epochs=3), config.GROUP_STAT_COLUMNS)
+    return rounded(run.oof.select(ID, TARGET, F.col("network").alias("prediction")))
 
 
 @on_sites
 def param_search(df):
-    data, names, _ = feature_plans.ensemble_features(df, geo=False)
-    return rounded(search_settings(data, FeatureSet(names), trials=3, rounds=3, patience=2,
-                                   limits={"maxDepth": ("int", 2, 4)}))
+    """The trials, and for the best one the out-of-fold error of its refit on all folds."""
+    run, trials = training.tuned_run(df, trials=3, tuning_rounds=3, rounds=3, patience=2,
+                                     limits={"maxDepth": ("int", 2, 4)}, restarts=2)
+    refit = run.scores.filter("fold IS NULL AND model = 'tuned'").select(
+        F.col("rmse").alias("refit_rmse"))
+    best = trials.orderBy("mean_rmse", "trial").limit(1).select("trial").crossJoin(refit)
+    return rounded(trials.join(F.broadcast(best), "trial", "left").orderBy("mean_rmse", "trial"))
 
 
 @query
 def model_artifact(spark, folder):
     """Models of every fold saved, loaded and applied to the test rows."""
     df = feature_plans.staged_features(sites(spark, folder), 2)
-    data = FeatureSet(config.GROUP_STAT_COLUMNS).assemble(folds.kfold(df, 2), None).persist()
+    data = FeatureSet(config.GROUP_STAT_COLUMNS).assemble(folds.kfold(df), None).persist()
     learner = BoostedTrees(rounds=3, overrides=SMALL)
     fitted = {f: learner.fit(folds.training_view(rows.train_rows(data), f), None)
-              for f in range(2)}
+              for f in range(config.N_FOLDS)}
     saved = runs.save_models(spark, fitted, scratch_path(spark, "models"))
     scored = None
     for f, path in saved.items():

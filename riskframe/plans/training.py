@@ -181,10 +181,23 @@ def spatial_run(df: DataFrame, learners: list[Learner] | None = None, stage: int
         built.unpersist()
 
 
-def _with_network(data: DataFrame, result: CrossValidation, network: Network,
+def network_run(df: DataFrame, network: Network | None = None,
+                used: list[str] = config.GROUP_STAT_COLUMNS, k: int = config.N_FOLDS
+                ) -> TrainingRun:
+    """The network alone on numeric columns, shuffled folds."""
+    network = network or Network()
+    data = _shuffled(df, k).select(config.ID, config.SPLIT, "fold", config.TARGET, *used).persist()
+    try:
+        return finish(data, _with_network(data, None, network, FeatureSet(used), k), [network.name])
+    finally:
+        data.unpersist()
+
+
+def _with_network(data: DataFrame, result: CrossValidation | None, network: Network,
                   features: FeatureSet, k: int) -> CrossValidation:
-    """Fold models of a learner that needs fold-train medians instead of a fill value."""
-    predictions, models = result.predictions, dict(result.models)
+    """Fold models of a learner that needs fold-train medians instead of a fill value, after those
+    of `result`."""
+    predictions, models = (result.predictions, dict(result.models)) if result else (None, {})
     models[network.name] = {}
     for f in range(k):
         flat = data.select(
@@ -202,7 +215,7 @@ def _with_network(data: DataFrame, result: CrossValidation, network: Network,
             config.ID, config.SPLIT, F.lit(f).alias("fold"),
             F.lit(network.name).alias("model"), F.col("_p").alias("prediction")))
         vectors.unpersist()
-        predictions = predictions.unionByName(part)
+        predictions = part if predictions is None else predictions.unionByName(part)
     return CrossValidation(predictions, models)
 
 
@@ -229,7 +242,7 @@ def tuned_run(df: DataFrame, trials: int = 60, tuning_rounds: int = 2000, rounds
         features = FeatureSet(names, [], code_sizes(data, codes, arrays=False))
         found = search_settings(data, features, trials, rounds=tuning_rounds, limits=limits,
                                 parallelism=parallelism)
-        learner = BoostedTrees("tuned", "categorical", False, rounds, patience,
+        learner = BoostedTrees("tuned", "categorical", True, rounds, patience,
                                overrides=best_settings(found))
         result = cross_validate(data, [learner], {"tuned": features}, k)
         return finish(data, result, ["tuned"]), found

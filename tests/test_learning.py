@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe import config
-from riskframe.checks.queries import SMALL, quick_trees
+from riskframe.checks.queries import QUERIES, SMALL, quick_trees
 from riskframe.functions.scores import rmse
 from riskframe.learners import network
 from riskframe.learners.base import FeatureSet, bins_needed, stop_round
@@ -172,3 +172,44 @@ def test_nominal_features_of_many_codes(spark):
     data = FeatureSet(["code"], [], {"code": 100}).assemble(df, None, nominal=True)
     assert bins_needed(data, 32) == 101 and bins_needed(data, 300) == 300
     assert BoostedTrees(rounds=2).fit(data, None).rounds == 2
+
+
+def test_network_query_predicts_every_train_row(spark, data_dir, all_sites):
+    got = QUERIES["mlp_regressor"](spark, data_dir).select(config.ID, "prediction").collect()
+    want = [r[0] for r in rows.train_rows(all_sites).select(config.ID).collect()]
+    assert sorted(r[config.ID] for r in got) == sorted(want)
+    assert all(r["prediction"] is not None for r in got)
+
+
+def test_search_query_refits_the_best_trial_with_categories(spark, data_dir, monkeypatch):
+    seen, fit = [], BoostedTrees.fit
+
+    def watched(self, train, valid):
+        nominal = train.schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])
+        seen.append((self.name, len(nominal)))
+        return fit(self, train, valid)
+    monkeypatch.setattr(BoostedTrees, "fit", watched)
+    got = QUERIES["param_search"](spark, data_dir).collect()
+    assert [r["refit_rmse"] is not None for r in got] == [True, False, False]
+    assert [n for n, _ in seen].count("tuned") == config.N_FOLDS
+    assert all(categories > 0 for _, categories in seen)
+
+
+@pytest.mark.parametrize("name, run, learners", [
+    ("cv_ensemble", "ensemble_run", 3), ("cv_spatial", "spatial_run", 3),
+    ("calibrated_submission", "spatial_run", 3), ("huber_boost", "grouped_run", 1)])
+def test_training_queries_use_default_folds_and_all_learners(spark, data_dir, monkeypatch, name, run, learners):
+    class Seen(Exception):
+        pass
+
+    def watched(df, used, k=config.N_FOLDS, **_):
+        raise Seen(k, len(used) if isinstance(used, list) else 1)
+    monkeypatch.setattr(training, run, watched)
+    with pytest.raises(Seen) as seen:
+        QUERIES[name](spark, data_dir)
+    assert seen.value.args == (config.N_FOLDS, learners)
+
+
+def test_model_query_has_a_model_per_default_fold(spark, data_dir):
+    found = {r["fold"] for r in QUERIES["model_artifact"](spark, data_dir).select("fold").distinct().collect()}
+    assert found == set(range(config.N_FOLDS))
