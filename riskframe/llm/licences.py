@@ -1,6 +1,6 @@
 """Licence texts found by canonical digests.
 
-A text is brought to a canonical form: A-Z lower-cased, copyright lines dropped, punctuation and
+A text is brought to a canonical form: A-Z lower-cased, copyright statements dropped, punctuation and
 spacing reduced to single blanks, equivalent spellings made one. Entire texts, and each of their
 lines, are looked up by the digest of that form in a short list of known licences and notices.
 
@@ -15,7 +15,36 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.text import filled, lines_of, lower_ascii
 
-COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|©|\(c\))"
+ALPHANUMERIC = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+# --- fixed values: words that follow "copyright" or "(c)" inside sentences ------
+# A line that a wrap lets begin so is text of the licence and not a copyright statement.
+SENTENCE_WORDS = """a above all also an and any are as at but claim claims disclaimer disclaimers
+doctrines each for from has have holder holders if in including infringement interest interests is it
+law laws licence licences license licenses like line lines management material may must no nor not
+notice notices of on or other owned owner owners ownership patent permission permissions protected
+protection related representations resulting right rights shall similar statement statements status
+terms that the these this those to treaties treaty under which will with work works you""".split()
+
+
+def other_word(words: list[str]) -> str:
+    """An expression for one word of a-z and 0-9 that is none of `words`, without look-ahead."""
+    def after(tails: set[str]) -> str:
+        heads = sorted({t[0] for t in tails if t})
+        ways = [f"{c}{after({t[1:] for t in tails if t[:1] == c})}" for c in heads]
+        ways.append("[" + "".join(c for c in ALPHANUMERIC if c not in heads) + "]")
+        return f"(?:{'|'.join(ways if '' in tails else [*ways, '[^a-z0-9]', '$'])})"
+    heads = sorted({w[0] for w in words})
+    ways = [f"{c}{after({w[1:] for w in words if w[0] == c})}" for c in heads]
+    return f"(?:{'|'.join(ways)}|[{''.join(c for c in ALPHANUMERIC if c not in heads)}])"
+
+
+# The sign, or the word or (c) before (c), the sign, a place to fill in, a year or a holder.
+COPYRIGHT_LINE = (
+    r"^[^a-z0-9]*(?:©|(?:copyright|\(c\))[^a-z0-9]*(?:\(c\)|©|[0-9]|[\[<{])"
+    r"|\(c\)[^a-z0-9]*copyright"
+    r"|(?:copyright|\(c\))[^a-z0-9]+(?:the [^\n]*(?:authors|contributors|developers)|"
+    + other_word(SENTENCE_WORDS) + "))")
 
 # --- fixed values: spellings of one word; both are written as the second ------
 SPELLINGS = {

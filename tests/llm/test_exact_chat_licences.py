@@ -1,6 +1,8 @@
 """Exact duplicates, chat examples, licence scans, URL filters: small cases with known results."""
 import hashlib
 import random
+import re
+import textwrap
 
 import pytest
 
@@ -92,6 +94,29 @@ def test_licences(spark):
     assert licences.licence_scan(df, known={}).filter("licence IS NOT NULL").count() == 0
 
 
+def wrapped(text, width):
+    return "\n".join(textwrap.fill(line, width) for line in text.split("\n"))
+
+
+def test_wrapped_licences(spark):
+    rows = [(name, wrapped(text, width)) for name, text in licences.LICENCES.items()
+            for width in range(60, 81)]
+    assert any(re.search("(?m)^copyright notice", text) for _, text in rows)
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    assert licences.licence_scan(df).filter("licence IS NULL OR licence <> doc_id").count() == 0
+
+
+def test_copyright_statements():
+    for line in ["copyright (c) 2001 someone", "(c) 2001 someone", "© someone", "# copyright 2001, 2002 x", "(c) someone",
+                 "copyright: someone", "copyright acme corp", "copyright noticeable ltd", "copyright [yyyy] [name]",
+                 " * copyright the kubernetes authors.", "(c) copyright ibm 2000", "copyright <year> <copyright holder>"]:
+        assert re.search(licences.COPYRIGHT_LINE, line), line
+    for line in ["copyright notice and this permission notice", "copyright holders be liable", "copyright owner", "copyright",
+                 "copyright holder", "copyrighted by the", "(c) you must retain", "copyright license to reproduce", "a (c) 2001",
+                 "copyright the software, and (2)", "copyright (or"]:
+        assert not re.search(licences.COPYRIGHT_LINE, line), line
+
+
 def test_urls(spark):
     rng = random.Random(4)
     parts = ["pills", "news", "casino", "blog", "shop"]
