@@ -2,7 +2,8 @@
 
 A text is brought to a canonical form: A-Z lower-cased, copyright statements dropped, punctuation and
 spacing reduced to single blanks, equivalent spellings made one. Entire texts, and each of their
-lines, are looked up by the digest of that form in a short list of known licences and notices.
+lines, are looked up by the digest of that form among known licences and notices: the texts below, and
+a table of digests of the common ones (`forms`, `notices`).
 
 The form is worked out inside the row. Only the known digests are broadcast, a list fixed by the
 caller; a text never meets more than the one licence of its digest.
@@ -10,6 +11,10 @@ caller; a text never meets more than the one licence of its digest.
 
 from __future__ import annotations
 
+import json
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,7 +84,87 @@ Permission is granted to anyone to use this software for any purpose, including
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+}
+
+# --- fixed values: title lines and ends that copies of a licence have or leave out ---
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT Licence"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "0BSD"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng license"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD License", "New BSD License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+    "Apache-2.0": ["Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+                   "Apache License Version 2.0, January 2004 https://www.apache.org/licenses/"],
+    "GPL-1.0": ["GNU GENERAL PUBLIC LICENSE Version 1, February 1989"],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.0": ["GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "MPL-1.1": ["MOZILLA PUBLIC LICENSE Version 1.1"], "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    "CC0-1.0": ["Creative Commons Legal Code CC0 1.0 Universal", "CC0 1.0 Universal"],
+    "GFDL-1.2": ["GNU Free Documentation License Version 1.2, November 2002"],
+    "GFDL-1.3": ["GNU Free Documentation License Version 1.3, 3 November 2008"],
+    "Artistic-1.0": ['The "Artistic License"'],
+}
+ENDS = ["END OF TERMS AND CONDITIONS", "Exhibit A - Source Code Form License Notice",
+        "ADDENDUM: How to use this License for your documents"]
+
+# --- fixed values: what notices call a licence, and how they begin -----------------
+NOTICES = {
+    "MIT": ["MIT", "MIT License"], "ISC": ["ISC", "ISC License"], "0BSD": ["0BSD"], "Zlib": ["Zlib", "zlib License"],
+    "BSD-2-Clause": ["BSD-2-Clause", "BSD 2-Clause License"], "BSD-3-Clause": ["BSD-3-Clause", "BSD 3-Clause License"],
+    "Unlicense": ["Unlicense"], "BSL-1.0": ["BSL-1.0", "Boost Software License, Version 1.0"],
+    "Apache-2.0": ["Apache-2.0", "Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    **{f"{short}-{v}.0".replace("2.1.0", "2.1"): [
+        x for name in (f"GNU {long}General Public License", f"GNU {short}", short)
+        for x in (f"{name}, version {v}", f"{name} v{v}", f"{name}-{v}.0".replace("2.1.0", "2.1"))]
+       for short, long in (("GPL", ""), ("LGPL", "Lesser "), ("AGPL", "Affero "))
+       for v in (("2", "3") if short == "GPL" else ("2.1", "3") if short == "LGPL" else ("3",))},
+    "MPL-2.0": ["MPL-2.0", "MPL 2.0", "Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"],
+    "CC0-1.0": ["CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero 1.0"],
+    **{f"CC-{kind}-{v}": [f"CC {kind} {v}", f"CC {kind} {v} License", f"Creative Commons {words} {v}",
+                          f"Creative Commons {words} {v} License", f"Creative Commons {words} {v} International License"]
+       for kind, words in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                           ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                           ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+       for v in ("2.0", "2.5", "3.0", "4.0")},
 }
+OPENINGS = [f"{verb} under {the}" for verb in (
+    "Licensed", "Released", "Distributed", "This work is licensed", "This project is licensed",
+    "This software is licensed") for the in ("", "the ")] + ["SPDX-License-Identifier: "]
+
+DIGESTS = Path(__file__).with_name("licence_digests.csv")
+
+
+def forms(name: str, text: str) -> list[str]:
+    """The text as copies have it: with each title line and without, to its usual end or to the
+    end of its terms, with and without 'All rights reserved.' where the title stands."""
+    words = " ".join(text.split())
+    bodies = [text]
+    for title in TITLES.get(name, []):
+        start = r"\W*" + r"\W+".join(map(re.escape, re.findall(r"\w+", title))) + r"\W*"
+        bodies += [text[m.end():] for m in [re.match(start, text, re.I)] if m]
+    bodies += [body[:body.index(end) + len(end) * keep] for body in bodies for end in ENDS if end in body
+               for keep in ((0, 1) if end == ENDS[0] else (0,))]
+    bodies += [f"All rights reserved.\n{body}" for body in bodies if len(words) < 3000]
+    return list(dict.fromkeys([*bodies, *(f"{t}\n{b}" for t in TITLES.get(name, []) for b in bodies)]))
+
+
+def notices() -> list[tuple[str, str]]:
+    """(name, line) of the one-line notices."""
+    return [(f"{name}-notice", opening + called) for name, calls in NOTICES.items()
+            for called in calls for opening in OPENINGS]
+
+
+def listed_digests() -> list[tuple[str, str]]:
+    """(digest, name) of the table of the package: `forms` of common licences, and `notices`."""
+    with open(DIGESTS, encoding="ascii") as lines:
+        return [tuple(line.rstrip("\n").split(",")) for line in lines]
 
 
 def canonical(text: Column) -> Column:
@@ -104,6 +189,13 @@ def known_digests(spark: SparkSession, known: dict[str, str]) -> dict[str, str]:
         "name", F.sha2("form", 256).alias("digest")).collect(), reverse=True)}
 
 
+def digest_rows(spark: SparkSession, texts: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(digest, name) of (name, text) rows, sorted; of names of one form the first counts."""
+    made = spark.createDataFrame(texts, "name string, text string").select(
+        "name", canonical(F.col("text")).alias("form")).filter("form <> ''")
+    return sorted(map(tuple, made.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("name")).collect()))
+
+
 def licence_scan(docs: DataFrame, known: dict[str, str] | None = None, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per document: id, digest, licence, n_licence_lines, line_licences.
@@ -115,15 +207,16 @@ def licence_scan(docs: DataFrame, known: dict[str, str] | None = None, id_col: s
     """
     spark = docs.sparkSession
     names = known_digests(spark, LICENCES if known is None else known)
+    names = {**dict(listed_digests()), **names} if known is None else names
     table = spark.createDataFrame(list(names.items()), "digest string, licence string")
     rows = docs.select(F.col(id_col).alias("__id"), filled(F.col(text_col)).alias("__text"))
     rows = rows.select("__id", F.sha2(canonical(F.col("__text")), 256).alias("digest"), F.transform(
         lines_of(F.col("__text")), lambda line: F.sha2(canonical(line), 256)).alias("lines"))
-    listed = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
-    rows = rows.withColumn("lines", F.when(F.arrays_overlap("lines", listed), F.filter(
-        "lines", lambda line: F.array_contains(listed, line))).otherwise(F.array().cast("array<string>")))
-    named = F.transform("lines", lambda line: F.try_element_at(F.create_map(
-        *[F.lit(x) for pair in names.items() for x in pair]), line)) if names else F.col("lines")
+    none = F.array().cast("array<string>")
+    # A list of constants is one hash set, however long.
+    rows = rows.withColumn("lines", F.filter("lines", lambda line: line.isin(*names)) if names else none)
+    called = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+    named = F.transform("lines", lambda line: F.try_element_at(called, line))
     # The table is as long as the caller's list of licences, whatever the number of documents.
     return rows.join(F.broadcast(table), "digest", "left").select(
         F.col("__id").alias(id_col), "digest", "licence",

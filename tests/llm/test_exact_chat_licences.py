@@ -1,5 +1,6 @@
 """Exact duplicates, chat examples, licence scans, URL filters: small cases with known results."""
 import hashlib
+import os
 import random
 import re
 import textwrap
@@ -106,6 +107,26 @@ def test_wrapped_licences(spark):
     assert licences.licence_scan(df).filter("licence IS NULL OR licence <> doc_id").count() == 0
 
 
+def test_common_texts_titles_and_notices(spark):
+    folder, rows = "/usr/share/common-licenses", [
+        ("CC-BY-NC-4.0-notice", "# Licensed under CC BY-NC 4.0."), ("CC-BY-SA-3.0-notice", "Licensed under CC-BY-SA-3.0"),
+        ("MIT-notice", "// SPDX-License-Identifier: MIT"), ("BSD-3-Clause-notice", "Licensed under the BSD 3-Clause License."),
+        ("MIT", "MIT License\n\nCopyright (c) 2020 A\n\n" + licences.LICENCES["MIT"]),
+        ("ISC", "ISC License\n\n" + wrapped(licences.LICENCES["ISC"], 72))]
+    for name, file in [("Apache-2.0", "Apache-2.0"), ("GPL-3.0", "GPL-3"), ("GPL-2.0", "GPL-2"), ("LGPL-2.1", "LGPL-2.1"),
+                       ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")]:
+        if os.path.exists(f"{folder}/{file}"):
+            with open(f"{folder}/{file}", encoding="utf-8") as f:
+                parts = re.split(r"\n\s*\n", f.read())
+            # Lines of their own stay so where a statement is among them.
+            rows += [(name, "\n\n".join(
+                part if re.search(r"(?im)^\W*copyright \W", part) else textwrap.fill(" ".join(part.split()), width)
+                for part in parts)) for width in range(60, 81)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    bad = licences.licence_scan(df).filter("licence IS NULL OR licence <> doc_id")
+    assert [r["doc_id"] for r in bad.collect()] == []
+
+
 def test_copyright_statements():
     for line in ["copyright (c) 2001 someone", "(c) 2001 someone", "© someone", "# copyright 2001, 2002 x", "(c) someone",
                  "copyright: someone", "copyright acme corp", "copyright noticeable ltd", "copyright [yyyy] [name]",
