@@ -30,8 +30,8 @@ from riskframe.llm.text import filled, lines_of
 from riskframe.session import cut_lineage
 
 THRESHOLD = 2             # edits between lines that count as the same
-MIN_CHARS = 20            # shorter lines are left alone
-MIN_NEAR_CHARS = 60       # shorter lines only repeat exactly
+MIN_CHARS = 1             # shorter lines are left alone: blank ones
+MIN_NEAR_CHARS = 20       # shorter lines only repeat exactly
 MAX_BROADCAST_IDS = 1_000_000
 BLANK = " \t\n\x0b\f\r"
 
@@ -133,8 +133,8 @@ def common_head(left: str, right: str) -> int:
     return low
 
 
-def line_rows(docs: DataFrame, threshold: int, min_near: int) -> DataFrame:
-    """id, version, place, high, low, size, keys: a row per line of `MIN_CHARS` or more.
+def line_rows(docs: DataFrame, threshold: int, min_near: int, min_chars: int) -> DataFrame:
+    """id, version, place, high, low, size, keys: a row per line of `min_chars` or more.
 
     Lines are taken without blanks around them. `docs` has id, version, text.
     """
@@ -147,7 +147,7 @@ def line_rows(docs: DataFrame, threshold: int, min_near: int) -> DataFrame:
                 for place, line in enumerate((text.as_py() or "").split("\n")):
                     line = line.strip(BLANK)
                     size = len(line)
-                    if size < MIN_CHARS:
+                    if size < min_chars:
                         continue
                     data = line.encode("utf-32-le", "surrogatepass")
                     whole = digest(data)
@@ -196,12 +196,12 @@ def links_between(threshold: int):
 
 
 def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD,
-                    min_near: int = MIN_NEAR_CHARS) -> DataFrame:
+                    min_near: int = MIN_NEAR_CHARS, min_chars: int = MIN_CHARS) -> DataFrame:
     """id, version, drop (sorted places of the lines that go) of the documents that lose lines.
 
     `docs` has id, version, text; equal (id, version) have the same text.
     """
-    lines = cut_lineage(line_rows(docs, threshold, min_near))
+    lines = cut_lineage(line_rows(docs, threshold, min_near, min_chars))
     classes = lines.groupBy("high", "low").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "version", "place")).alias("first"))
     near = cut_lineage(lines.filter(F.size("keys") > 0).select(
@@ -246,18 +246,20 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD,
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                threshold: int = THRESHOLD, min_near: int = MIN_NEAR_CHARS) -> DataFrame:
+                threshold: int = THRESHOLD, min_near: int = MIN_NEAR_CHARS,
+                min_chars: int = MIN_CHARS) -> DataFrame:
     """The table with the repeated lines taken out of its texts, and __n_lines, __n_dropped.
 
     First means the smallest id (null before all), then the smallest place. Lines are compared
-    without ASCII blanks around them; below `MIN_CHARS` characters they always stay. A null text
+    without ASCII blanks around them; below `min_chars` characters they always stay, and
+    below `min_near` only exact repeats go. A null text
     stays null. Rows of one id and one text count as one document, so that all keep the same
     lines; of one id and different texts, the order is that of a hash of the text. No document
     goes, though it may end empty. Other columns are kept. An empty table stays empty.
     """
     version = F.xxhash64(filled(F.col(text_col)))
     rows = docs.select(F.col(id_col).alias("id"), version.alias("version"), F.col(text_col).alias("text"))
-    drops = duplicate_lines(rows, threshold, min_near).withColumnsRenamed(
+    drops = duplicate_lines(rows, threshold, min_near, min_chars).withColumnsRenamed(
         {"id": "__of", "version": "__at", "drop": "__drop"})
     drops = cut_lineage(drops)
     drops = F.broadcast(drops) if drops.count() <= MAX_BROADCAST_IDS else drops

@@ -117,3 +117,12 @@ def test_repeated_rows_nulls_and_empty_tables(spark):
     got = sorted(((r["doc_id"], r["text"], r["__n_dropped"]) for r in L.dedup_lines(df).collect()), key=str)
     assert got == sorted([(1, "", 1), (1, "", 1), (None, line, 1), (2, None, 0)], key=str)
     assert L.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_short_repeats_go_and_variants_are_found_from_20_characters(spark):
+    rows = [(1, "Was erlytion that. Anea.\nshort\n\nx"), (2, "Was erlytion that. Ansh.\nshort\n\nz"), (3, "shart\nx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in L.dedup_lines(df).collect()}
+    assert got == {1: rows[0][1], 2: "\nz", 3: "shart"}
+    kept = {r["doc_id"]: r["text"] for r in L.dedup_lines(df, min_near=60, min_chars=20).collect()}
+    assert kept == dict(rows)
