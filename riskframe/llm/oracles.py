@@ -74,5 +74,67 @@ SELECT doc_id, w.digest, k.name AS licence, coalesce(f.lines, 0)::BIGINT AS n_li
 FROM whole w LEFT JOIN known k ON k.digest = w.digest LEFT JOIN found f ON f.n = w.n
 """
 
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+# A step of the checksum takes in a byte or shifts by a bit (-1).
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: list_prepend(ord(c)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+                        ELSE xor(crc >> 1, CASE WHEN crc & 1 = 1 THEN 3988292384 ELSE 0 END) END))"""
+
+
+def _tree(name: str, leaves: str) -> str:
+    """The nodes of the trees of a table (tree, rank, size, digest) and what stands beside them."""
+    return f"""
+{name}(tree, level, rank, size, digest) AS (
+  SELECT tree, 0, rank, size, digest FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, rank // 8, (size + 7) // 8, sha256(string_agg(digest, '' ORDER BY rank))
+  FROM {name} WHERE size > 1 GROUP BY tree, level, rank // 8, size),
+{name}_sides AS (
+  SELECT tree, level, rank,
+    coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE size > 1 WINDOW w AS (PARTITION BY tree, level, rank // 8 ORDER BY rank))"""
+
+
+OP11 = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('v' || lang, 'n') AS tree, text,
+    {" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))} AS head,
+    CASE WHEN {_CRC32} % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') ELSE text END AS later FROM documents),
+hashed AS (
+  SELECT doc_id, tree, sha256(head || {_field("text")}) AS digest,
+    sha256(head || {_field("later")}) AS later FROM docs),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS rank,
+    count(*) OVER (PARTITION BY tree) AS size, row_number() OVER () AS n FROM hashed),
+{_tree("low", "leaves")},
+subroots AS (
+  SELECT tree AS part, '' AS tree, digest, row_number() OVER (ORDER BY tree) - 1 AS rank,
+    count(*) OVER () AS size FROM low WHERE size = 1),
+{_tree("high", "subroots")},
+up(n, tree, level, rank, proof, folded) AS (
+  SELECT n, tree, 0, rank, '', later FROM leaves
+  UNION ALL
+  SELECT n, tree, level + 1, rank // 8, proof || l || r, sha256(l || folded || r)
+  FROM up JOIN low_sides USING (tree, level, rank)),
+top AS (SELECT n, max_by(proof, level) AS proof, max_by(folded, level) AS folded FROM up GROUP BY n),
+further(n, tree, level, rank, proof, folded) AS (
+  SELECT n, s.tree, 0, s.rank, proof, folded
+  FROM top JOIN leaves x USING (n) JOIN subroots s ON s.part = x.tree
+  UNION ALL
+  SELECT n, tree, level + 1, rank // 8, proof || l || r, sha256(l || folded || r)
+  FROM further JOIN high_sides USING (tree, level, rank)),
+ends AS (SELECT n, max_by(proof, level) AS proof, max_by(folded, level) AS folded FROM further GROUP BY n)
+SELECT doc_id, x.digest AS leaf, s.digest AS subroot, h.digest AS root, sha256(e.proof) AS proof_sha256,
+       e.folded AS folded_root, e.folded = h.digest AS verified
+FROM leaves x JOIN ends e USING (n) JOIN subroots s ON s.part = x.tree
+JOIN (SELECT digest FROM high WHERE size = 1) h ON true
+"""
+
 ORACLES: dict[str, str] = {"op1_chat_examples": OP1, "op3_exact_dedup": OP3,
-                           "op5_licence_scan": OP5}
+                           "op5_licence_scan": OP5, "op11_merkle_manifest": OP11}

@@ -13,10 +13,12 @@ from riskframe.llm.chat import format_examples, read_back
 from riskframe.llm.exact import exact_duplicates
 from riskframe.llm.licences import licence_scan
 from riskframe.llm.lines import dedup_lines
+from riskframe.llm.merkle import manifest
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import quality_rules
 from riskframe.llm.secrets import secret_spans, span_list
+from riskframe.llm.text import lower_ascii
 from riskframe.llm.urls import filter_urls
 
 # --- fixed values: what the queries apply their operators to ----------------
@@ -90,6 +92,14 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """In the tampered table every third document, by a checksum of its id, is in lower case."""
+    text = F.col("text")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest(table(spark, folder, "documents"), found={
+        "text": F.when(hit, lower_ascii(text)).otherwise(text)}).drop("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_examples": op1_chat_examples,
     "op2_quality_rules": op2_quality_rules,
@@ -101,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
