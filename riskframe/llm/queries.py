@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.llm.align import align_tokenizers
 from riskframe.llm.bpe import encode_and_decode
 from riskframe.llm.chat import format_examples, read_back
 from riskframe.llm.exact import exact_duplicates
@@ -18,6 +19,7 @@ from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.packing import pack_documents
 from riskframe.llm.quality import quality_rules
 from riskframe.llm.secrets import secret_spans, span_list
+from riskframe.llm.simhash import simhash_groups
 from riskframe.llm.text import lower_ascii
 from riskframe.llm.urls import filter_urls
 
@@ -100,6 +102,15 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
         "text": F.when(hit, lower_ascii(text)).otherwise(text)}).drop("path")
 
 
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_groups(table(spark, folder, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokenizers(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_examples": op1_chat_examples,
     "op2_quality_rules": op2_quality_rules,
@@ -112,4 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash": op12_simhash,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
