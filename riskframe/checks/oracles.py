@@ -47,6 +47,9 @@ add("csv_scan_inferred", "SELECT record_id, soil_type, latitude, "
 add("csv_scan_reordered", "SELECT record_id, district, latitude FROM clean")
 add("csv_scan_quoted", """SELECT record_id, 'He said "no, ' || landcover || '"' || chr(10) || 'here, '
   || coalesce(district, '-') AS reason FROM clean""")
+add("csv_scan_folder", "SELECT record_id, latitude, longitude, district FROM clean")
+add("csv_scan_split", """SELECT record_id, '"' || landcover || '", ' || coalesce(district, '-') AS reason,
+  elevation_m FROM clean""")
 add("csv_pair_dirty_test", "SELECT record_id, nearest_evac_km, split FROM clean")
 add("template_scan_swapped", f"SELECT record_id, 11.0::DOUBLE AS {T} FROM test")
 add("template_scan", f"SELECT record_id, 0.0::DOUBLE AS {T} FROM test")

@@ -126,6 +126,27 @@ def csv_scan_quoted(spark, folder):
         T.StructField(ID, T.LongType()), T.StructField("reason", T.StringType())]))
 
 
+@query
+def csv_scan_folder(spark, folder):
+    """A folder whose files have their columns in two orders, one of them with a column more."""
+    path = scratch_path(spark, "sites-csv")
+    data = sites(spark, folder)
+    kinds = T.StructType([T.StructField(c, data.schema[c].dataType) for c in (ID, "latitude", "longitude", "district")])
+    parts = (["latitude", "longitude", "district", ID], [ID, "longitude", "soil_type", "district", "latitude"])
+    for side, names in enumerate(parts):
+        data.filter(F.col(ID) % 2 == side).select(*names).write.mode("append").csv(path, header=True)
+    return delimited.read_csv(spark, path, kinds)
+
+
+@query
+def csv_scan_split(spark, folder):
+    """Quoted fields without line breaks, in files that are read in splits; types are found too."""
+    path = scratch_path(spark, "sites-csv")
+    said = F.concat(F.lit('"'), "landcover", F.lit('", '), F.coalesce("district", F.lit("-")))
+    sites(spark, folder).select(said.alias("reason"), ID, "elevation_m").write.csv(path, header=True, escape='"')
+    return delimited.read_csv(spark, path, delimited.infer_schema(spark, path)).select(ID, "reason", "elevation_m")
+
+
 @query
 def csv_pair_dirty_test(spark, folder):
     """A column of numbers in the train file that has stray texts in the test file."""
