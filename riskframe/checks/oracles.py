@@ -123,6 +123,9 @@ FROM clean LEFT JOIN m USING (district)""", DISTRICT)
 add("scalar_broadcast", f"""SELECT record_id, {r('(coalesce(drainage_index, med) - lo) / (hi - lo + 1e-9)')} AS drainage_scaled
 FROM clean, (SELECT min(drainage_index) lo, max(drainage_index) hi, median(drainage_index) med FROM train)""")
 add("align_models", "SELECT record_id, " + ", ".join(f"{r(m)} AS {m}" for m in MODELS) + " FROM preds", PREDS)
+add("nearest_neighbour", """SELECT a.record_id, arg_min(b.record_id, ((a.latitude - b.latitude) * (a.latitude - b.latitude)
+  + (a.longitude - b.longitude) * (a.longitude - b.longitude), b.record_id)) AS neighbour
+FROM train a LEFT JOIN test b ON a.latitude + a.longitude + b.latitude + b.longitude IS NOT NULL GROUP BY 1""")
 add("nearest_centroid", """SELECT record_id, arg_min(c.district, ((latitude - lat) * (latitude - lat)
   + (longitude - lon) * (longitude - lon), c.district)) AS centroid
 FROM clean, c WHERE latitude IS NOT NULL GROUP BY record_id

@@ -16,7 +16,7 @@ from riskframe.learners.boosting import BoostedTrees, HuberBoost, StagedTrees
 from riskframe.learners.forest import feature_importance
 from riskframe.learners.network import Network
 from riskframe.operators import (
-    columns, encode, ensemble, evaluation, folds, groups, joins, profile, rows, spatial)
+    columns, encode, ensemble, evaluation, folds, groups, joins, nearest, profile, rows, spatial)
 from riskframe.operators.quantiles import exact_quantiles
 from riskframe.plans import features as feature_plans
 from riskframe.plans import training
@@ -394,8 +394,16 @@ def radius_core_points(df):
 def nearest_centroid(df):
     centres = df.na.drop(subset=["district", *config.COORDINATES]).groupBy("district").agg(
         F.round(F.avg("latitude"), 4).alias("lat"), F.round(F.avg("longitude"), 4).alias("lon"))
-    fixed = [tuple(r) for r in centres.orderBy("district").toLocalIterator()]
-    return spatial.nearest_centroid(df, list(config.COORDINATES), fixed).select(ID, "centroid")
+    named = centres.select("district", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"))
+    return nearest.nearest_of_table(df, list(config.COORDINATES), named, "district").select(ID, "centroid")
+
+
+@on_sites
+def nearest_neighbour(df):
+    """Of each train location the closest test location: as many centres as test rows."""
+    centres = rows.test_rows(df).select(F.col(ID).alias("neighbour"), *config.COORDINATES)
+    return nearest.nearest_of_table(rows.train_rows(df), list(config.COORDINATES), centres, "neighbour",
+                                    "neighbour").select(ID, "neighbour")
 
 
 # --- aggregations ----------------------------------------------------------
