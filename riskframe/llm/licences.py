@@ -167,16 +167,34 @@ def listed_digests() -> list[tuple[str, str]]:
         return [tuple(line.rstrip("\n").split(",")) for line in lines]
 
 
+def spelled_words() -> str:
+    """An expression for a word of `SPELLINGS` between blanks and line breaks."""
+    heads = sorted({word[0] for word in SPELLINGS})
+    ways = [f"{c}(?:{'|'.join(sorted(w[1:] for w in SPELLINGS if w[0] == c))})" for c in heads]
+    return rf"(?:^|[ \n])(?:{'|'.join(ways)})(?:[ \n]|$)"
+
+
+def plain_text(low: Column) -> Column:
+    """A lower-cased text without copyright statements, other characters as single blanks; line
+    breaks stay. Few texts have anything that looks like a statement; the others are left whole."""
+    signed = low.contains("copyright") | low.contains("(c)") | low.contains("©")
+    kept = F.array_join(F.filter(lines_of(low), lambda line: ~line.rlike(COPYRIGHT_LINE)), "\n")
+    return F.regexp_replace(F.when(signed, kept).otherwise(low), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def line_forms(plain: Column) -> Column:
+    """The canonical forms of the lines of a `plain_text` in order, empty ones left out."""
+    known = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
+    spelled = F.transform(lines_of(plain), lambda line: F.array_join(F.transform(
+        F.split(line, " "), lambda word: F.coalesce(F.try_element_at(known, word), word)), " "))
+    # Few texts have a word to respell.
+    lines = F.when(plain.rlike(spelled_words()), spelled).otherwise(lines_of(plain))
+    return F.array_remove(F.transform(lines, F.trim), "")
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of a text or line."""
-    lines = F.filter(lines_of(lower_ascii(text)), lambda line: ~line.rlike(COPYRIGHT_LINE))
-    words = F.array_remove(F.split(F.regexp_replace(
-        F.array_join(lines, "\n"), r"[^\p{L}\p{N}]+", " "), " "), "")
-    known = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
-    spelled = F.transform(words, lambda word: F.coalesce(F.try_element_at(known, word), word))
-    # Few texts have a word to respell; a look at all words at once is cheap.
-    variants = F.array(*map(F.lit, SPELLINGS))
-    return F.array_join(F.when(F.arrays_overlap(words, variants), spelled).otherwise(words), " ")
+    return F.array_join(line_forms(plain_text(lower_ascii(text))), " ")
 
 
 def known_digests(spark: SparkSession, known: dict[str, str]) -> dict[str, str]:
@@ -209,9 +227,11 @@ def licence_scan(docs: DataFrame, known: dict[str, str] | None = None, id_col: s
     names = known_digests(spark, LICENCES if known is None else known)
     names = {**dict(listed_digests()), **names} if known is None else names
     table = spark.createDataFrame(list(names.items()), "digest string, licence string")
-    rows = docs.select(F.col(id_col).alias("__id"), filled(F.col(text_col)).alias("__text"))
-    rows = rows.select("__id", F.sha2(canonical(F.col("__text")), 256).alias("digest"), F.transform(
-        lines_of(F.col("__text")), lambda line: F.sha2(canonical(line), 256)).alias("lines"))
+    rows = docs.select(F.col(id_col).alias("__id"), lower_ascii(filled(F.col(text_col))).alias("low"))
+    rows = rows.select("__id", plain_text(F.col("low")).alias("plain"))
+    rows = rows.select("__id", line_forms(F.col("plain")).alias("forms"))
+    rows = rows.select("__id", F.sha2(F.array_join("forms", " "), 256).alias("digest"), F.transform(
+        "forms", lambda form: F.sha2(form, 256)).alias("lines"))
     none = F.array().cast("array<string>")
     # A list of constants is one hash set, however long.
     rows = rows.withColumn("lines", F.filter("lines", lambda line: line.isin(*names)) if names else none)

@@ -1,6 +1,6 @@
 """The SQL twins of the subpackage's queries, where SQL can express them."""
 
-from riskframe.llm.licences import COPYRIGHT_LINE, LICENCES, SPELLINGS
+from riskframe.llm.licences import COPYRIGHT_LINE, LICENCES, SPELLINGS, listed_digests
 
 OP3 = """
 WITH rows AS (
@@ -56,10 +56,14 @@ def _canonical(text: str) -> str:
 
 
 OP5 = f"""
-WITH known AS (
+WITH own AS (
   SELECT sha256({_canonical("text")}) AS digest, min(name) AS name
   FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in LICENCES.items())}) t(name, text)
   GROUP BY 1),
+known AS (
+  SELECT * FROM own UNION ALL
+  SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in listed_digests())}) t(digest, name)
+  WHERE digest NOT IN (SELECT digest FROM own)),
 docs AS (
   SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
