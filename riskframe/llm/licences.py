@@ -189,7 +189,7 @@ def line_forms(plain: Column) -> Column:
         F.split(line, " "), lambda word: F.coalesce(F.try_element_at(known, word), word)), " "))
     # Few texts have a word to respell.
     lines = F.when(plain.rlike(spelled_words()), spelled).otherwise(lines_of(plain))
-    return F.array_remove(F.transform(lines, F.trim), "")
+    return F.array_remove(F.transform(lines, lambda line: F.trim(line)), "")
 
 
 def canonical(text: Column) -> Column:
