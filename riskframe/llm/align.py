@@ -30,7 +30,8 @@ from riskframe.llm.packing import text_groups
 from riskframe.session import cut_lineage
 
 HOT_PAIRS = 1_000_000          # pairs whose counts are broadcast: 16 MB
-CACHE_BYTES = 64_000_000       # of remembered stretches a worker keeps
+CACHE_BYTES = 128_000_000      # of remembered stretches a worker keeps
+ENTRY_BYTES = 350              # of one besides its text, groups and links
 NEW_STRETCHES = 20_000         # stretches encoded at once
 GROUP_CHARS = 1_000_000        # characters of texts handled at once, unless one has more
 TASK_PAIRS = 1_000_000         # pairs a task counts before it hands them on
@@ -39,6 +40,7 @@ TASK_PAIRS = 1_000_000         # pairs a task counts before it hands them on
 # white space in some tables only and are left alone.
 _BLANK = "\\s\u180e\u200b"
 CUT = re.compile(f"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
+ODD_ENDS = re.compile(f"^[{_BLANK}]|[{_BLANK}]$|^$|\u2581")
 UNEVEN = re.compile(f" [{_BLANK}]|[{_BLANK}] ")
 WORD_MARK = "\u2581"
 FALLBACK = re.compile("<0x([0-9A-F]{2})>")
@@ -85,8 +87,9 @@ class Aligner:
             i) else p.replace(WORD_MARK, " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (
             np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
-        self.a_names, self.b_names = (
-            [str(i) for i in range(len(table))] for table in (self.a_bytes, self.b_bytes))
+        # Each id twice: with more of its side to come, and as its side's last in a group.
+        self.names = [f"{i}{c}" for table, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))
+                      for i in range(len(table)) for c in ends]
         self.key_type = "<u4" if len(self.a_bytes) * len(pieces) <= 1 << 32 else "<i8"
         # A piece with a blank after other characters could join two stretches.
         self.cuts = all(WORD_MARK not in p.lstrip(WORD_MARK) for p in pieces)
@@ -108,67 +111,67 @@ class Aligner:
         return text.split(" ")
 
     def learn(self, stretches: list[str]) -> None:
-        """Align a blank and each stretch, and remember the results."""
-        given = [" " + s for s in stretches]
-        found_a = self.a.encode_batch(given, add_special_tokens=False)
-        found_b = self.b.encode(stretches, return_type="proto", num_threads=1)
-        joined = "".join(given).encode()
-        sizes = np.array([len(s.encode()) for s in given], np.int64)
+        """Align a blank and each stretch, and remember the results.
+
+        They are encoded as one text with blanks between, which no token crosses. Those that would join
+        with a neighbour's blank, or do not give back their bytes, are encoded by themselves.
+        """
+        even = [s for s in stretches if self.cuts and not ODD_ENDS.search(s)]
+        if even and not self._aligned(even):
+            even = []
+        for stretch in set(stretches).difference(even):
+            if not self._aligned([stretch]):
+                self.known[stretch] = None
+                self.held += ENTRY_BYTES + len(stretch)
+
+    def _aligned(self, stretches: list[str]) -> bool:
+        """Remember the groups and links of stretches encoded together; False if their bytes do not
+        come back or their borders are not where tokens end."""
+        text = " " + " ".join(stretches)
+        raw = text.encode()
+        sizes = np.fromiter((len(s.encode()) + 1 for s in stretches), np.int64, len(stretches))
         stops = np.cumsum(sizes)
-        at_char = np.append(np.flatnonzero((np.frombuffer(joined, np.uint8) & 0xC0) != 0x80), len(joined))
-        chars = np.cumsum([0, *map(len, given)])
-
-        n_a = np.array([len(e.ids) for e in found_a], np.int64)
-        ids_a = np.fromiter(chain.from_iterable(e.ids for e in found_a), np.int64, n_a.sum())
-        spans = np.array([x for e in found_a for x in e.offsets], np.int64).reshape(-1, 2)
-        spans = at_char[spans + np.repeat(chars[:-1], n_a)[:, None]]
-        after = np.append(spans[1:, 0], len(joined))
+        found = self.a.encode(text, add_special_tokens=False)
+        ids_a = np.array(found.ids, np.int64)
+        spans = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids_a)).reshape(-1, 2)
+        if len(raw) != len(text):
+            at_char = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+            spans = np.append(at_char, len(raw))[spans]
+        after = np.append(spans[1:, 0], len(raw))
         ends_a = refined(spans[:, 1], spans[:, 1] <= after, self.a_sizes[ids_a])
 
-        pieces = [list(p.pieces) for p in found_b]
-        n_b = np.array([len(p) for p in pieces], np.int64)
-        flat = [(p.id, p.begin, p.end) for part in pieces for p in part]
-        ids_b, begins, ends_b = np.array(flat, np.int64).reshape(-1, 3).T
-        # Spans are bytes of the stretch, which a blank precedes.
-        ends_b = refined(ends_b + 1 + np.repeat(stops - sizes, n_b), ends_b > begins, self.b_sizes[ids_b])
-
-        bytes_a = [self.a_bytes[i] for i in ids_a.tolist()]
-        bytes_b = [self.b_bytes[i] for i in ids_b.tolist()]
-        last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
-        good = np.ones(len(given), bool)
-        if b"".join(bytes_a) != joined or b"".join(bytes_b) != joined:
-            for k, text in enumerate(given):
-                raw = text.encode()
-                good[k] = (raw == b"".join(bytes_a[last_a[k] - n_a[k]:last_a[k]])
-                           == b"".join(bytes_b[last_b[k] - n_b[k]:last_b[k]]))
-            if not good.all():
-                for k in np.flatnonzero(~good):
-                    self.keep(stretches[k], None)
-                self.learn([s for s, ok in zip(stretches, good, strict=True) if ok] or ["a"])
-                return
+        pieces = self.b.encode(text[1:], return_type="proto").pieces
+        flat = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for p in pieces), np.int64, 3 * len(pieces))
+        ids_b, begins, ends_b = flat.reshape(-1, 3).T
+        # Spans are bytes of the text after the first blank.
+        ends_b = refined(ends_b + 1, ends_b > begins, self.b_sizes[ids_b])
+        if (b"".join(map(self.a_bytes.__getitem__, ids_a.tolist())) != raw
+                or b"".join(map(self.b_bytes.__getitem__, ids_b.tolist())) != raw):
+            return False
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        if not np.isin(stops, both).all():
+            return False
 
         cuts = np.union1d(ends_a, ends_b)
         keys = (ids_a[np.searchsorted(ends_a, cuts)] * len(self.b_sizes)
                 + ids_b[np.searchsorted(ends_b, cuts)]).astype(self.key_type)
-        links = np.searchsorted(cuts, stops, "right").tolist()
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        names_a = [self.a_names[i] for i in ids_a.tolist()]
-        names_b = [self.b_names[i] for i in ids_b.tolist()]
-        groups, x, y = [], 0, 0
-        for p, q in zip((np.searchsorted(ends_a, both) + 1).tolist(), (np.searchsorted(ends_b, both) + 1).tolist(),
-                        strict=True):
-            groups.append(f"{','.join(names_a[x:p])}|{','.join(names_b[y:q])}")
-            x, y = p, q
-        borders = np.searchsorted(both, stops, "right").tolist()
-        raw, size, first, group = keys.tobytes(), keys.itemsize, 0, 0
+        # Names in order: of each group A's tokens, then B's; the last of each says what follows.
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        codes = np.concatenate([2 * ids_a + (both[group_a] == ends_a),
+                                2 * (ids_b + len(self.a_bytes)) + (both[group_b] == ends_b)])[order]
+        names = list(map(self.names.__getitem__, codes.tolist()))
+        last_a, last_b, last_link, last_group = (
+            (np.searchsorted(x, stops, "right")).tolist() for x in (ends_a, ends_b, cuts, both))
+        packed, size = keys.tobytes(), keys.itemsize
+        a = b = link = group = 0
         for k, stretch in enumerate(stretches):
-            self.keep(stretch, (";".join(groups[group:borders[k]]), raw[size * first:size * links[k]],
-                                int(n_a[k]), int(n_b[k]), borders[k] - group))
-            first, group = links[k], borders[k]
-
-    def keep(self, stretch: str, found: tuple | None) -> None:
-        self.known[stretch] = found
-        self.held += 400 + len(stretch) + (len(found[0]) + len(found[1]) if found else 0)
+            x, y, z, g = last_a[k], last_b[k], last_link[k], last_group[k]
+            parts, links = "".join(names[a + b:x + y]), packed[size * link:size * z]
+            self.known[stretch] = parts, links, (x - a) | (y - b) << 32 | (g - group) << 64
+            self.held += ENTRY_BYTES + len(stretch) + len(parts) + len(links)
+            a, b, link, group = x, y, z, g
+        return True
 
     def align(self, texts: list[str]) -> list[tuple[str, np.ndarray, int, int, int] | None]:
         """Groups, link keys, and the numbers of A tokens, B tokens and groups of each text; None of a
@@ -186,12 +189,14 @@ class Aligner:
                 start, chars = stop, 0
         out = []
         for parts in cut:
-            found = [known[part] for part in parts]
+            found = list(map(known.__getitem__, parts))
             if not found or None in found:
                 out.append(None)
                 continue
-            groups, raw, n_a, n_b, n_groups = zip(*found, strict=True)
-            out.append((";".join(groups), np.frombuffer(b"".join(raw), self.key_type), sum(n_a), sum(n_b), sum(n_groups)))
+            groups, raw, numbers = zip(*found, strict=True)
+            total = sum(numbers)
+            out.append(("".join(groups)[:-1], np.frombuffer(b"".join(raw), self.key_type),
+                        total & 0xFFFFFFFF, total >> 32 & 0xFFFFFFFF, total >> 64))
         return out
 
 
