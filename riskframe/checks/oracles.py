@@ -493,6 +493,12 @@ add("optimal_blend", union([
 add("optimal_blend_pair", f"""SELECT 'rain' AS model, {r('(e3 - e1) / (e0 + e3 - 2*e1)', 5)} AS weight, {r('sqrt(e0)', 5)} AS model_rmse, {r('no3', 5)} AS blend_rmse FROM pairs
 UNION ALL SELECT 'elev', {r('(e0 - e1) / (e0 + e3 - 2*e1)', 5)}, {r('sqrt(e3)', 5)}, {r('no3', 5)} FROM pairs""", GRAM)
 add("apply_blend", f"SELECT record_id, split, {r('least(1.0, greatest(0.0, w1 * rain + w2 * elev + w3 * drain))', 5)} AS blend FROM preds, wt", GRAM)
+for kind, value in (("mae", "avg(abs(y - p))"), ("custom", """(avg(abs(y - p)) + sqrt(avg(pow(y - p, 2)))) / 2
+  * (1 + greatest(0, avg(pow(y - p, 2)) / var_pop(y)))""")):
+    add(f"blend_{kind}", f"""SELECT model, {r("CASE WHEN model = 'rain' THEN w ELSE 1 - w END", 5)} AS weight, {r('s', 5)} AS score
+FROM (SELECT w, {value} AS s FROM (SELECT i.i, 0.5 + i.i * 0.001 AS w, y, (0.5 + i.i * 0.001) * rain
+  + (1 - (0.5 + i.i * 0.001)) * elev AS p FROM scored, range(-2000, 2001) i(i)) GROUP BY i, w ORDER BY s, i LIMIT 1),
+  (VALUES ('rain'), ('elev')) m(model)""", PREDS)
 add("blend_ablation", union([
     f"SELECT '{m}' AS left_out, {r('best')} AS full_rmse, {r(f'no{i + 1}')} AS rmse_without, {r(f'no{i + 1} - best')} AS contribution FROM pairs"
     for i, m in enumerate(MODELS)]), GRAM)
@@ -516,5 +522,7 @@ add("calibration_grid", f"""SELECT factor, {r('sqrt(avg(pow(y - p, 2)))')} AS rm
   {r('(avg(abs(y - p)) + sqrt(avg(pow(y - p, 2)))) / 2 * (1 + greatest(0, avg(pow(y - p, 2)) / var_pop(y)))')} AS custom,
   {r('stddev_pop(p)')} AS pred_std
 FROM (SELECT factor, y, {STRETCH.format('factor')} AS p FROM scored, ce, (VALUES {FACTORS}) v(factor)) GROUP BY factor""", CENTRE)
+add("stretch_mae", f"""SELECT {r('factor', 5)} AS factor, {r('s', 5)} AS mae FROM (SELECT factor, avg(abs(y - {STRETCH.format('factor')})) AS s
+  FROM scored, ce, (SELECT 0.5 + i.i * 0.001::DOUBLE AS factor FROM range(7501) i(i)) GROUP BY factor ORDER BY s, factor LIMIT 1)""", CENTRE)
 add("best_calibration", f"SELECT {r('factor', 5)} AS factor, {r('custom', 5)} AS custom FROM g ORDER BY g.custom, g.factor LIMIT 1",
     CENTRE + ",\nf AS (SELECT 0.5 + i.i * 0.001::DOUBLE AS factor FROM range(7501) i(i)),\n" + grid("g", "f"))

@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from riskframe import config
 from riskframe.functions import cleaning, features, geo
-from riskframe.functions.scores import custom_metric
+from riskframe.functions.scores import custom_metric, mae
 from riskframe.learners.base import FeatureSet
 from riskframe.learners.boosting import BoostedTrees, HuberBoost, StagedTrees
 from riskframe.learners.forest import feature_importance
+from riskframe.learners.histogram import HistogramBoost
 from riskframe.learners.network import Network
 from riskframe.operators import (
-    columns, encode, ensemble, evaluation, folds, groups, joins, nearest, profile, rows, spatial)
+    columns, encode, ensemble, evaluation, folds, groups, joins, minimise, nearest, profile, rows, spatial)
 from riskframe.operators.quantiles import exact_quantiles
 from riskframe.plans import features as feature_plans
 from riskframe.plans import training
@@ -825,6 +826,32 @@ def apply_blend(df):
         ensemble.weighted_blend(weights)).alias("blend")), 5)
 
 
+def _blend_by(df, score):
+    weights, found = minimise.best_blend(scored_train(df).persist(), MODELS[:2], score)
+    return rounded(df.sparkSession.createDataFrame(
+        [(m, w, found.score) for m, w in weights.items()], "model string, weight double, score double"), 5)
+
+
+@on_sites
+def blend_custom(df):
+    """Weights of two models for the least custom score, which has no closed form."""
+    return _blend_by(df, custom_metric)
+
+
+@on_sites
+def blend_mae(df):
+    """The same for the mean absolute error."""
+    return _blend_by(df, mae)
+
+
+@on_sites
+def stretch_mae(df):
+    """The calibration factor for the least mean absolute error."""
+    scored = scored_train(df)
+    found = minimise.best_stretch(scored, "rain", ensemble.blend_centre(scored, "rain"), mae)
+    return rounded(df.sparkSession.createDataFrame([(found.values[0], found.score)], "factor double, mae double"), 5)
+
+
 @on_sites
 def blend_ablation(df):
     return rounded(ensemble.blend_ablation(scored_train(df), MODELS))
@@ -883,6 +910,19 @@ def huber_boost(df):
     return rounded(training.grouped_run(df, learner).oof)
 
 
+@on_sites
+def leafwise_baseline(df):
+    """Out-of-fold predictions of trees of up to 63 leaves, all settings of the role but the rounds."""
+    learner = HistogramBoost.of("baseline", uses_nominal=True, rounds=3)
+    return rounded(training.baseline_run(df, learner).oof)
+
+
+@on_sites
+def leafwise_huber(df):
+    """The same with Huber loss, penalties on leaf values and folds by district."""
+    return rounded(training.grouped_run(df, HistogramBoost.of("huber", rounds=3)).oof)
+
+
 @on_sites
 def cv_ensemble(df):
     """Blended test predictions of three boosters with shuffled folds."""

@@ -14,8 +14,9 @@ from riskframe import config
 from riskframe.functions.cleaning import coerce_numeric
 from riskframe.functions.features import clip_unit
 from riskframe.learners.base import FeatureSet, Learner
-from riskframe.learners.boosting import BoostedTrees, HuberBoost
+from riskframe.learners.boosting import BoostedTrees
 from riskframe.learners.crossval import CrossValidation, cross_validate
+from riskframe.learners.histogram import HistogramBoost
 from riskframe.learners.network import Network
 from riskframe.learners.search import best_settings, search_settings
 from riskframe.operators.columns import feature_columns, split_kinds
@@ -49,7 +50,7 @@ class TrainingRun:
 
 def tree_learners(rounds: int | None = None, patience: int | None = None,
                   overrides: dict | None = None) -> list[Learner]:
-    """The three squared-loss boosters: native categories, depth-wise, categorical."""
+    """The three squared-loss boosters on MLlib's trees: native categories, depth-wise, categorical."""
     extra = {k: v for k, v in (("rounds", rounds), ("patience", patience),
                                ("overrides", overrides)) if v is not None}
     return [BoostedTrees("wide", "wide", True, **extra),
@@ -57,6 +58,14 @@ def tree_learners(rounds: int | None = None, patience: int | None = None,
             BoostedTrees("categorical", "categorical", True, **extra)]
 
 
+def leafwise_learners(**changes) -> list[Learner]:
+    """The same three roles by histograms: leaf-wise with native categories, depth-wise, and with
+    categories and a penalty on leaf values. `changes` to their settings hold for all."""
+    return [HistogramBoost.of("wide", uses_nominal=True, **changes),
+            HistogramBoost.of("depthwise", **changes),
+            HistogramBoost.of("categorical", uses_nominal=True, **changes)]
+
+
 def _train_folds(df: DataFrame, folds: DataFrame) -> DataFrame:
     """Attach train folds by id; test rows keep a null fold."""
     return df.drop("fold").join(folds.select(config.ID, "fold"), config.ID, "left")
@@ -94,7 +103,7 @@ def _record(log: RunLog | None, run: TrainingRun, params: dict, extra: dict | No
 def baseline_run(df: DataFrame, learner: Learner | None = None, k: int = config.N_FOLDS
                  ) -> TrainingRun:
     """One booster on raw columns with native categories, shuffled folds."""
-    learner = learner or BoostedTrees("baseline", "baseline", True)
+    learner = learner or HistogramBoost.of("baseline", uses_nominal=True)
     df = coerce_numeric(df)
     features = feature_columns(train_rows(df), test_rows(df).drop(config.TARGET), "baseline")
     scalars, categories = split_kinds(df, features)
@@ -115,7 +124,7 @@ def _shuffled(df: DataFrame, k: int) -> DataFrame:
 def grouped_run(df: DataFrame, learner: Learner | None = None, k: int = config.N_FOLDS,
                 log: RunLog | None = None, group: str = "district") -> TrainingRun:
     """Huber booster on label codes, folds by group, predictions limited to [0, 1]."""
-    learner = learner or HuberBoost()
+    learner = learner or HistogramBoost.of("huber")
     data, names, codes = minimal_features(df, group)
     data = fold_train_rows(data.drop("fold"), "fold_group", k).persist()
     try:
@@ -140,7 +149,7 @@ def ensemble_run(df: DataFrame, learners: list[Learner] | None = None,
                  k: int = config.N_FOLDS, restarts: int = config.KMEANS_RESTARTS,
                  log: RunLog | None = None) -> TrainingRun:
     """Three boosters on whole-train encodings with shuffled folds, optimal blend."""
-    learners = learners or tree_learners()
+    learners = learners or leafwise_learners()
     data, names, codes = ensemble_features(df, restarts=restarts)
     data = _shuffled(data, k).persist()
     try:
@@ -160,7 +169,7 @@ def spatial_run(df: DataFrame, learners: list[Learner] | None = None, stage: int
                 restarts: int = config.KMEANS_RESTARTS, log: RunLog | None = None
                 ) -> TrainingRun:
     """Boosters, and optionally a network, with spatial group folds and leak-free encodings."""
-    learners = list(learners or tree_learners())
+    learners = list(learners or leafwise_learners())
     built = staged_features(df, stage, density).persist()
     labelled = add_spatial_groups(
         built.select(config.ID, config.SPLIT, *config.COORDINATES), groups, restarts=restarts)
