@@ -93,3 +93,4 @@ DENSITY_SETTINGS = {"near": (3.0, 20), "far": (10.0, 10)}
 MAX_BROADCAST_ROWS = 200_000      # a lookup up to this many rows is broadcast
 MAX_BUFFERED_VALUES = 1_000_000   # values one quantile buffer may hold
 HOT_KEY_SHARE = 1 / 256           # a key above this share of the rows is "hot"
+TASK_ROWS = 5_000_000             # so is one above the rows a task should hold

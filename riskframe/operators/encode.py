@@ -15,6 +15,9 @@ from riskframe.operators.joins import lookup_join, pin_small
 from riskframe.operators.rows import train_rows
 from riskframe.session import cut_lineage
 
+TOP_KEYS = 1_000          # frequent keys whose values are broadcast
+TRACKED_KEYS = 10_000     # keys the sketch that finds them keeps count of
+
 
 # --- vocabularies ----------------------------------------------------------
 
@@ -82,15 +85,57 @@ def _attach(df: DataFrame, table: DataFrame, small: bool, columns, value: str, s
     def text(c):
         return category_text(F.col(c)) if missing_is_category else F.col(c).cast("string")
 
+    if not small:
+        return _attach_large(df, table, {c: text(c) for c in columns}, value, suffix)
     keys = {c: f"_k_{c}" for c in columns}
     df = df.withColumns({key: text(c) for c, key in keys.items()})
     for c, key in keys.items():
         lookup = table.filter(F.col("column") == c).select(
             F.col("category").alias(key), F.col(value).alias(f"{c}{suffix}"))
-        df = lookup_join(df, lookup, key, pinned=small)
+        df = lookup_join(df, lookup, key, pinned=True)
     return df.drop(*keys.values())
 
 
+def frequent_keys(cells: DataFrame, most: int | None = None) -> DataFrame:
+    """(_col, _key) of the most frequent cells of all columns, from one mergeable sketch.
+
+    A key with more than 4/`TRACKED_KEYS` of the cells is never missed; at most `most` rows
+    (`TOP_KEYS`).
+    """
+    most = TOP_KEYS if most is None else most
+    name = F.concat_ws(":", F.col("_col").cast("string"), "_key")
+    found = cells.select(name.alias("_name")).filter(F.col("_name").contains(":")).agg(
+        F.expr(f"approx_top_k(_name, {most}, {TRACKED_KEYS})").alias("top"))
+    item = F.col("t.item")
+    keys = found.select(F.explode("top").alias("t")).select(
+        F.substring_index(item, ":", 1).cast("int").alias("_col"),
+        F.expr("substring(t.item, locate(':', t.item) + 1)").alias("_key"))
+    return keys
+
+
+def _attach_large(df: DataFrame, table: DataFrame, keys: dict, value: str, suffix: str) -> DataFrame:
+    """The same for a table of any size, in two scans and one join whatever the number of columns.
+
+    The cells of all columns are one long table. The values of its most frequent keys are broadcast;
+    all other cells meet theirs in one shuffle, where no key has many of them, and return by row.
+    """
+    base = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    cells = base.select("_row", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_col"), key.alias("_key")) for i, key in enumerate(keys.values())])))
+    named = table.select("column", F.col("category").alias("_key"), F.col(value).alias("_value")).join(
+        F.broadcast(df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(keys)], "column string, _col int")),
+        "column").drop("column")
+    # As many rows as the sketch has, at most.
+    hot = pin_small(frequent_keys(cells).join(named, ["_col", "_key"], "left").withColumn("_hot", F.lit(True)), TOP_KEYS)
+    marked = cells.filter(F.col("_key").isNotNull()).join(F.broadcast(hot), ["_col", "_key"], "left")
+    cold = marked.filter(F.col("_hot").isNull()).select("_row", "_col", "_key").join(named, ["_col", "_key"])
+    found = marked.filter("_hot").select("_row", "_col", "_value").unionByName(cold.select("_row", "_col", "_value"))
+    wide = found.groupBy("_row").agg(*[
+        F.first(F.when(F.col("_col") == i, F.col("_value")), ignorenulls=True).alias(f"{c}{suffix}")
+        for i, c in enumerate(keys)])
+    return base.join(wide, "_row", "left").drop("_row")
+
+
 def _per_fold_default(df: DataFrame, columns, suffix: str, defaults: dict) -> DataFrame:
     """Fill missing arrays, and missing positions of arrays, from one array per column."""
     made = {}

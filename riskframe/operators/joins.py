@@ -16,12 +16,13 @@ from riskframe import config
 _SALTS = 4096
 
 
-def pin_small(df: DataFrame, max_rows: int = config.MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """`df` as a local table when it has at most `max_rows` rows, else None.
+def pin_small(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
+    """`df` as a local table when it has at most `max_rows` rows (`MAX_BROADCAST_ROWS`), else None.
 
     At most `max_rows + 1` rows travel to the driver. A pinned lookup is computed once,
     however often the plan uses it, and does not depend on executors staying alive.
     """
+    max_rows = config.MAX_BROADCAST_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return None
@@ -29,7 +30,7 @@ def pin_small(df: DataFrame, max_rows: int = config.MAX_BROADCAST_ROWS) -> DataF
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str] | str,
-                max_rows: int = config.MAX_BROADCAST_ROWS, pinned: bool = False) -> DataFrame:
+                max_rows: int | None = None, pinned: bool = False) -> DataFrame:
     """Left lookup; `lookup` has one row per key. Null keys never match.
 
     `pinned` says the lookup was derived from a table `pin_small` returned.
@@ -42,22 +43,25 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str] | str,
 
 
 def spread_join(facts: DataFrame, lookup: DataFrame, keys: list[str],
-                share: float = config.HOT_KEY_SHARE) -> DataFrame:
+                share: float | None = None) -> DataFrame:
     """Left lookup for a large lookup table and skewed facts.
 
-    At most 1/share keys can each hold more than `share` of the rows; their lookup rows
-    are broadcast. Rows with such a key, or with a null key, get a random-like salt so
+    Keys with more than `share` of the rows, or more rows than a task should hold, are hot: no more
+    than `MAX_BROADCAST_ROWS` can be. Their lookup rows are broadcast. Rows with such a key, or with a null key, get a random-like salt so
     that the shuffle spreads them; all other rows meet their match under salt 0.
     """
     values = [c for c in lookup.columns if c not in keys]
     total = facts.count()
+    bound = min(total * (config.HOT_KEY_SHARE if share is None else share), config.TASK_ROWS)
+    bound = max(1.0, bound, total / config.MAX_BROADCAST_ROWS)
+    most = int(total / bound) + 1
     hot = pin_small(
-        facts.groupBy(*keys).count().filter(F.col("count") > max(1.0, total * share))
-        .drop("count").na.drop(subset=keys), int(1 / share) + 1)
+        facts.groupBy(*keys).count().filter(F.col("count") > bound)
+        .drop("count").na.drop(subset=keys), most)
     hot = pin_small(
         hot.join(lookup, keys, "left").select(
             *keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]),
-        int(1 / share) + 1)
+        most)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted = facts.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(
