@@ -14,7 +14,7 @@ from riskframe import config
 from riskframe.functions.cleaning import coerce_numeric
 from riskframe.functions.features import clip_unit
 from riskframe.learners.base import FeatureSet, Learner
-from riskframe.learners.boosting import BoostedTrees
+from riskframe.learners.boosting import BoostedTrees, StagedTrees
 from riskframe.learners.crossval import CrossValidation, cross_validate
 from riskframe.learners.histogram import HistogramBoost
 from riskframe.learners.network import Network
@@ -25,11 +25,12 @@ from riskframe.operators.ensemble import (
     best_calibration, blend_centre, calibrated, optimal_weights, weighted_blend)
 from riskframe.operators.evaluation import class_report, confusion, metrics_by_fold
 from riskframe.operators.folds import fold_train_rows, group_kfold, kfold
+from riskframe.operators.joins import align_models
 from riskframe.operators.rows import test_rows, train_rows
 from riskframe.operators.spatial import add_spatial_groups
 from riskframe.plans.features import (
     code_sizes, ensemble_features, fold_encoded, minimal_features, staged_features)
-from riskframe.sources.runs import RunLog
+from riskframe.sources.runs import RunLog, load_models, logged_values
 from riskframe.session import cut_lineage
 
 
@@ -84,24 +85,52 @@ def finish(df: DataFrame, result: CrossValidation, names: list[str]) -> Training
     return TrainingRun(oof, test, names, weights, scores, result.models)
 
 
-def _record(log: RunLog | None, run: TrainingRun, params: dict, extra: dict | None = None
-            ) -> None:
+def _record(log: RunLog | None, run: TrainingRun, params: dict, learners: list,
+            extra: dict | None = None) -> None:
+    """Settings of the run and its learners, weights, scores per fold and overall, saved models."""
     if log is None:
         return
     log.params(params)
+    for learner in learners:
+        settings = learner.settings() if isinstance(learner, Learner) else vars(learner)
+        log.params({f"{learner.name}.{key}": value for key, value in settings.items()})
     log.params({f"blend_w_{m}": round(w, 4) for m, w in run.weights.items()})
+    log.params({f"weight.{m}": repr(float(w)) for m, w in run.weights.items()})
     for r in run.scores.collect():                 # (folds + 1) × models rows
         where = "oof" if r["fold"] is None else f"fold{r['fold']}"
         log.metrics({f"{where}_{r['model']}_{s}": r[s] for s in ("custom", "rmse", "mae", "r2")
                      if r[s] is not None})
     log.metrics(extra or {})
+    for name, models in run.fitted.items():
+        log.save_models(name, models)
     log.flush()
 
 
+def score_saved(data: DataFrame, features: dict[str, FeatureSet], path: str, run_id: str,
+                nominal: tuple[str, ...] = (), clip: bool = False) -> DataFrame:
+    """id, a column per learner and `blend` from the models and weights of a logged run.
+
+    `data` is prepared like that of the run. A learner's value is the mean over its fold models;
+    learners named in `nominal` see categories as such.
+    """
+    spark = data.sparkSession
+    models = load_models(spark, path, run_id, StagedTrees.load)
+    weights = {m: float(w) for m, w in logged_values(spark, path, run_id, "weight.").items()}
+    scored = None
+    for name, folds in models.items():
+        for f, model in folds.items():
+            rows = features[name].assemble(data, f, name in nominal)
+            value = clip_unit(F.col("_p")) if clip else F.col("_p")
+            part = model.predict(rows, "_p").select(config.ID, F.lit(name).alias("model"), value.alias("prediction"))
+            scored = part if scored is None else scored.unionByName(part)
+    wide = align_models(scored, list(models))
+    return wide.select("*", weighted_blend({m: weights[m] for m in models}).alias("blend"))
+
+
 # --- runs ------------------------------------------------------------------
 
-def baseline_run(df: DataFrame, learner: Learner | None = None, k: int = config.N_FOLDS
-                 ) -> TrainingRun:
+def baseline_run(df: DataFrame, learner: Learner | None = None, k: int = config.N_FOLDS,
+                 log: RunLog | None = None) -> TrainingRun:
     """One booster on raw columns with native categories, shuffled folds."""
     learner = learner or HistogramBoost.of("baseline", uses_nominal=True)
     df = coerce_numeric(df)
@@ -113,7 +142,9 @@ def baseline_run(df: DataFrame, learner: Learner | None = None, k: int = config.
     data = data.select(config.ID, config.SPLIT, "fold", config.TARGET, *scalars, *native)
     sizes = code_sizes(data, native, arrays=True)
     sets = {learner.name: FeatureSet(scalars, native, sizes)}
-    return finish(data, cross_validate(data, [learner], sets, k), [learner.name])
+    run = finish(data, cross_validate(data, [learner], sets, k), [learner.name])
+    _record(log, run, {"n_folds": k, "n_features": len(scalars) + len(native)}, [learner])
+    return run
 
 
 def _shuffled(df: DataFrame, k: int) -> DataFrame:
@@ -138,7 +169,7 @@ def grouped_run(df: DataFrame, learner: Learner | None = None, k: int = config.N
                 report.update({f"oof_{s}_{label}": r[s] for s in ("precision", "recall", "f1")})
                 report["oof_binary_accuracy"] = r["accuracy"]
             _record(log, run, {"n_folds": k, "cv_strategy": f"group_{group}",
-                               "num_features": len(names), "cat_cols": codes},
+                               "num_features": len(names), "cat_cols": codes}, [learner],
                     {**report, **{f"cm_{c}": v for c, v in cells.items()}})
         return run
     finally:
@@ -157,7 +188,7 @@ def ensemble_run(df: DataFrame, learners: list[Learner] | None = None,
         sets = {m.name: features for m in learners}
         run = finish(data, cross_validate(data, learners, sets, k), [m.name for m in learners])
         _record(log, run, {"models": "+".join(run.models), "n_folds": k,
-                           "n_features": len(names)})
+                           "n_features": len(names)}, learners)
         return run
     finally:
         data.unpersist()
@@ -183,7 +214,8 @@ def spatial_run(df: DataFrame, learners: list[Learner] | None = None, stage: int
             result = _with_network(data, result, network, sets["coded"], k)
             names.append(network.name)
         run = finish(data, result, names)
-        _record(log, run, {"models": "+".join(names), "n_folds": k, "stage": stage})
+        _record(log, run, {"models": "+".join(names), "n_folds": k, "stage": stage},
+                [*learners, *([network] if network is not None else [])])
         return run
     finally:
         data.unpersist()
@@ -191,13 +223,15 @@ def spatial_run(df: DataFrame, learners: list[Learner] | None = None, stage: int
 
 
 def network_run(df: DataFrame, network: Network | None = None,
-                used: list[str] = config.GROUP_STAT_COLUMNS, k: int = config.N_FOLDS
-                ) -> TrainingRun:
+                used: list[str] = config.GROUP_STAT_COLUMNS, k: int = config.N_FOLDS,
+                log: RunLog | None = None) -> TrainingRun:
     """The network alone on numeric columns, shuffled folds."""
     network = network or Network()
     data = _shuffled(df, k).select(config.ID, config.SPLIT, "fold", config.TARGET, *used).persist()
     try:
-        return finish(data, _with_network(data, None, network, FeatureSet(used), k), [network.name])
+        run = finish(data, _with_network(data, None, network, FeatureSet(used), k), [network.name])
+        _record(log, run, {"n_folds": k, "n_features": len(used)}, [network])
+        return run
     finally:
         data.unpersist()
 
@@ -228,13 +262,18 @@ def _with_network(data: DataFrame, result: CrossValidation | None, network: Netw
     return CrossValidation(predictions, models)
 
 
-def calibrate_run(run: TrainingRun, column: str = "blend") -> tuple[DataFrame, float, float]:
+def calibrate_run(run: TrainingRun, column: str = "blend", log: RunLog | None = None
+                  ) -> tuple[DataFrame, float, float]:
     """Test predictions with `raw` and `calibrated`, the factor found and its OOF score.
 
     Centre and factor come from the train rows and are applied to test unchanged.
     """
     factor, score = best_calibration(run.oof, column)
     centre = blend_centre(run.oof, column)
+    if log is not None:
+        log.params({"calibration_factor": factor, "calibration_centre": centre})
+        log.metric("oof_calibrated_custom", score)
+        log.flush()
     return run.test.select(
         config.ID, F.col(column).alias("raw"),
         calibrated(F.col(column), centre, factor).alias("calibrated")), factor, score
@@ -242,8 +281,8 @@ def calibrate_run(run: TrainingRun, column: str = "blend") -> tuple[DataFrame, f
 
 def tuned_run(df: DataFrame, trials: int = 60, tuning_rounds: int = 2000, rounds: int = 3000,
               patience: int = 100, k: int = config.N_FOLDS, limits: dict | None = None,
-              restarts: int = config.KMEANS_RESTARTS, parallelism: int = 8
-              ) -> tuple[TrainingRun, DataFrame]:
+              restarts: int = config.KMEANS_RESTARTS, parallelism: int = 8,
+              log: RunLog | None = None) -> tuple[TrainingRun, DataFrame]:
     """Search settings with three folds, then refit the best on all folds."""
     data, names, codes = ensemble_features(df, restarts=restarts)
     data = _shuffled(data, k).persist()
@@ -254,6 +293,8 @@ def tuned_run(df: DataFrame, trials: int = 60, tuning_rounds: int = 2000, rounds
         learner = BoostedTrees("tuned", "categorical", True, rounds, patience,
                                overrides=best_settings(found))
         result = cross_validate(data, [learner], {"tuned": features}, k)
-        return finish(data, result, ["tuned"]), found
+        run = finish(data, result, ["tuned"])
+        _record(log, run, {"trials": trials, "tuning_rounds": tuning_rounds, "n_folds": k}, [learner])
+        return run, found
     finally:
         data.unpersist()
