@@ -16,11 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.joins import lookup_join
+from riskframe.operators.joins import lookup_join, pin_small
+from riskframe.operators.spatial import nearest_centroid
 from riskframe.session import cut_lineage
 
 LEAF = 8               # centres a cell may hold before it is cut
 DEPTH = 26             # levels of halving at most
+FEW_CENTRES = 256      # so many are part of the expression, without a search
 SMALL_LEVELS = 8       # levels of at most 4**8 cells, whose parts are broadcast
 
 
@@ -91,6 +93,11 @@ def nearest_of_table(df: DataFrame, columns: list[str], centres: DataFrame, labe
     a, b = columns
     spots = centres.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"), F.col(label).alias("label"))
     spots = cut_lineage(spots.na.drop().groupBy("x", "y").agg(F.min("label").alias("label")))
+    few = pin_small(spots, FEW_CENTRES)
+    if few is not None:
+        written_out = [(r["label"], r["x"], r["y"]) for r in few.collect()]
+        if written_out:
+            return nearest_centroid(df, columns, written_out, name)
     parts, ends, levels = _pyramid(spots)
     x, y = F.col("x"), F.col("y")
     points = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")).na.drop().distinct()

@@ -26,8 +26,9 @@ def places(rng, kind, n):
 
 
 @pytest.mark.parametrize("kind", ["even", "crowd", "grid", "line"])
-@pytest.mark.parametrize("number", [1, 9, 700])
-def test_equals_all_distances(spark, kind, number):
+@pytest.mark.parametrize("number,few", [(1, 0), (9, 0), (9, 256), (700, 256)])
+def test_equals_all_distances(spark, kind, number, few, monkeypatch):
+    monkeypatch.setattr(nearest, "FEW_CENTRES", few)
     rng = random.Random(f"{kind}{number}")
     centres = [(f"c{i:04d}", *p) for i, p in enumerate(places(rng, kind, number))]
     points = [(i, *p) for i, p in enumerate(places(rng, rng.choice(["even", "grid", kind]), 150) + places(rng, kind, 80) + [(5.5, 5.5)])]
@@ -38,7 +39,9 @@ def test_equals_all_distances(spark, kind, number):
     assert sorted((r["id"], r["near"]) for r in got.collect()) == brute(points, centres)
 
 
-def test_nulls_repeats_and_no_centres(spark):
+@pytest.mark.parametrize("few", [0, 256])
+def test_nulls_repeats_and_no_centres(spark, few, monkeypatch):
+    monkeypatch.setattr(nearest, "FEW_CENTRES", few)
     centres = [(3, 1.0, 1.0), (2, 1.0, 1.0), (None, 0.0, 0.0), (1, None, 5.0), (9, 4.0, 4.0)]
     points = [(0, 0.0, 0.0), (1, None, 1.0), (2, 5.0, 5.0), (2, 5.0, 5.0), (3, 2.5, 2.5)]
     df = spark.createDataFrame(points, "x long, lat double, lon double")
@@ -50,7 +53,8 @@ def test_nulls_repeats_and_no_centres(spark):
     assert nearest.nearest_of_table(df.limit(0), ["lat", "lon"], table, "label").count() == 0
 
 
-def test_centres_apart_by_less_than_a_cell(spark):
+def test_centres_apart_by_less_than_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "FEW_CENTRES", 0)
     centres = [(i, 7.0 + i * 1e-13, 7.0) for i in range(40)] + [(99, 170.0, -80.0)]
     df = spark.createDataFrame([(0, 7.0, 7.0), (1, 7.0 + 39e-13, 7.1), (2, 100.0, 0.0)], "id long, lat double, lon double")
     got = nearest.nearest_of_table(df, ["lat", "lon"], spark.createDataFrame(centres, "label int, lat double, lon double"), "label")
