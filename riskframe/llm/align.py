@@ -38,11 +38,12 @@ TASK_PAIRS = 1_000_000         # pairs a task counts before it hands them on
 
 # Single blanks between characters that nothing takes for white space. U+180E and U+200B count as
 # white space in some tables only and are left alone.
-_BLANK = "\\s\u180e\u200b"
+THIN = "\u180e\u200b"
+_BLANK = "\\s" + THIN
 CUT = re.compile(f"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
-ODD_ENDS = re.compile(f"^[{_BLANK}]|[{_BLANK}]$|^$|\u2581")
 UNEVEN = re.compile(f" [{_BLANK}]|[{_BLANK}] ")
 WORD_MARK = "\u2581"
+STOPS = ".,;:!?"
 FALLBACK = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -93,6 +94,14 @@ class Aligner:
         self.key_type = "<u4" if len(self.a_bytes) * len(pieces) <= 1 << 32 else "<i8"
         # A piece with a blank after other characters could join two stretches.
         self.cuts = all(WORD_MARK not in p.lstrip(WORD_MARK) for p in pieces)
+        # A stop after a letter at a stretch's end is a token of its own, unless a piece holds both.
+        self.stops = {}
+        for stop in STOPS if self.cuts else "":
+            if not any(x.isalpha() and y == stop for p in pieces for x, y in zip(p, p[1:], strict=False)):
+                a, b = (found[-1] for found in (self.a.encode(f"a{stop}", add_special_tokens=False).ids, self.b.encode(f"a{stop}")))
+                if self.a_bytes[a] == self.b_bytes[b] == stop.encode():
+                    key = np.array([a * len(pieces) + b], self.key_type).tobytes()
+                    self.stops[stop] = f"{a}|{b};", key
         self.known: dict[str, tuple | None] = {}
         self.held = 0
 
@@ -116,13 +125,17 @@ class Aligner:
         They are encoded as one text with blanks between, which no token crosses. Those that would join
         with a neighbour's blank, or do not give back their bytes, are encoded by themselves.
         """
-        even = [s for s in stretches if self.cuts and not ODD_ENDS.search(s)]
+        even = [s for s in stretches if self.cuts and s and not (
+            s[0].isspace() or s[-1].isspace() or s[0] in THIN or s[-1] in THIN or WORD_MARK in s)]
         if even and not self._aligned(even):
             even = []
-        for stretch in set(stretches).difference(even):
+        for stretch in set(stretches).difference(even) if len(even) < len(stretches) else ():
             if not self._aligned([stretch]):
-                self.known[stretch] = None
-                self.held += ENTRY_BYTES + len(stretch)
+                self.keep(stretch, None)
+
+    def keep(self, stretch: str, found: tuple[str, bytes, int] | None) -> None:
+        self.known[stretch] = found
+        self.held += ENTRY_BYTES + len(stretch) + (len(found[0]) + len(found[1]) if found else 0)
 
     def _aligned(self, stretches: list[str]) -> bool:
         """Remember the groups and links of stretches encoded together; False if their bytes do not
@@ -168,8 +181,7 @@ class Aligner:
         for k, stretch in enumerate(stretches):
             x, y, z, g = last_a[k], last_b[k], last_link[k], last_group[k]
             parts, links = "".join(names[a + b:x + y]), packed[size * link:size * z]
-            self.known[stretch] = parts, links, (x - a) | (y - b) << 32 | (g - group) << 64
-            self.held += ENTRY_BYTES + len(stretch) + len(parts) + len(links)
+            self.keep(stretch, (parts, links, (x - a) | (y - b) << 32 | (g - group) << 64))
             a, b, link, group = x, y, z, g
         return True
 
@@ -180,13 +192,18 @@ class Aligner:
         if self.held > CACHE_BYTES:
             self.known, self.held = {}, 0
         known = self.known
-        new = list(set().union(*cut).difference(known))
+        new = set().union(*cut).difference(known)
+        stopped = {s for s in new if s[-1:] in self.stops and s[-2:-1].isalpha()}
+        new = list((new - stopped).union(s[:-1] for s in stopped).difference(known))
         start = chars = 0
         for stop, stretch in enumerate(new, 1):
             chars += len(stretch)
             if stop - start >= NEW_STRETCHES or chars >= GROUP_CHARS or stop == len(new):
                 self.learn(new[start:stop])
                 start, chars = stop, 0
+        for stretch in stopped:
+            rest, (group, link) = known[stretch[:-1]], self.stops[stretch[-1]]
+            self.keep(stretch, rest and (rest[0] + group, rest[1] + link, rest[2] + (1 | 1 << 32 | 1 << 64)))
         out = []
         for parts in cut:
             found = list(map(known.__getitem__, parts))

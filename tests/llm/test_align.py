@@ -78,7 +78,8 @@ def plain(texts):
 KINDS = ["abc DE éß. ,", "the ing tion and ", "0. 1½\n\t\x85\xa0\x1c  ", "'s'LL'd. ’", "中文 ابج😀👩‍🚀İıΣ ｆ ", "<|endoftext|> <s> <0x41> ",
          "  ​᠎　 x", "a▁ b"]
 EDGES = [None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a\n b", "a \nb", "<|endoftext|>", "<s>", "</s> <unk>", "😀", "a😀 😀b",
-         "\x00 \x01", "é é", "▁", "x ▁y", "​ a", "a ​b", "﻿a b", "᠎ b", "中" * 50]
+         "\x00 \x01", "é é", "▁", "x ▁y", "​ a", "a ​b", "﻿a b", "᠎ b", "中" * 50,
+         "a. b, c; d: e! f?", "é. ñ, ². 3. x.. y?! z.\n", "end.", "a. ", "a.b. c", "(so)."]
 
 
 def texts(seed, number):
