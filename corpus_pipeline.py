@@ -19,6 +19,7 @@ from riskframe.llm.text import NOT_BLANK
 from riskframe.session import cut_lineage
 
 ORACLE_SQL = None
+WORD_BYTES = 25_000_000   # of words a worker remembers when it packs
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +46,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of all documents and their places in sequences. Workers that served the stages before
+    still hold memory, so they remember fewer words."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cache_bytes=WORD_BYTES)
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("near duplicates", near_duplicates),

@@ -27,7 +27,9 @@ from riskframe.session import cut_lineage
 
 SEQUENCE = 4096           # tokens a sequence holds
 END_ID = 1                # closes each document
-WORD_CACHE = 1_000_000     # words whose ids a worker remembers
+CACHE_BYTES = 100_000_000  # of words and their ids in each of the two halves of a worker's memory
+ENTRY_BYTES = 200          # of an entry besides its word and ids
+NEW_WORDS = 5_000          # words encoded at once
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]   # ((length, how often), ...), copies
 
@@ -37,7 +39,9 @@ Pattern = tuple[tuple[tuple[int, int], ...], int]   # ((length, how often), ...)
 class WordIds:
     """Ids of texts by way of their words, remembered between texts and tasks of a worker.
 
-    `array` numbers are in the machine's order, which is little-endian wherever Spark runs Arrow.
+    A full memory becomes the old half, from which words that are met again are taken over.
+    A text with the string of a special token in it is encoded whole, as the tokenizer does by
+    default. `array` numbers are in the machine's order, which is little-endian wherever Spark runs Arrow.
     """
 
     loaded: dict[str, WordIds] = {}
@@ -47,36 +51,60 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.ids: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
+        self.most = CACHE_BYTES
 
     @classmethod
-    def of(cls, path: str) -> WordIds:
+    def of(cls, path: str, cache_bytes: int | None = None) -> WordIds:
         if path not in cls.loaded:
             cls.loaded[path] = cls(path)
+        cls.loaded[path].most = cache_bytes or CACHE_BYTES
         return cls.loaded[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [text.encode("utf-8", "replace").lower().split() for text in texts]
-        words = set().union(*split)
-        new = words.difference(self.ids)
-        if len(new) + len(self.ids) > WORD_CACHE:
-            self.ids, new = {}, words
+    def learn(self, words: set[bytes]) -> None:
+        """Remember the ids of new words."""
         # A stop or comma after a letter or digit at a word's end is a token of its own.
-        stops = {word for word in new if word[-1:] in (b".", b",") and word[-2:-1].isalnum()}
-        plain = list((new - stops | {word[:-1] for word in stops} | {b".", b","}).difference(self.ids))
-        found = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in plain], add_special_tokens=False)
+        stops = {word for word in words if word[-1:] in (b".", b",") and word[-2:-1].isalnum()}
+        plain = list((words - stops | {word[:-1] for word in stops} | {b".", b","}).difference(self.ids))
+        # Lower-cased words may look like special tokens; they are not.
+        self.tokenizer.encode_special_tokens = True
         ids = self.ids
-        for word, encoding in zip(plain, found, strict=True):
-            ids[word] = array("I", encoding.ids).tobytes()
+        for start in range(0, len(plain), NEW_WORDS):
+            part = plain[start:start + NEW_WORDS]
+            found = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+            raw, owners = array("I", found.ids).tobytes(), np.array(found.word_ids, np.int64)
+            cuts = np.searchsorted(owners, np.arange(len(part) + 1)).tolist()
+            for word, low, high in zip(part, cuts, cuts[1:], strict=False):
+                ids[word] = raw[4 * low:4 * high]
+            self.held += ENTRY_BYTES * len(part) + sum(map(len, part)) + len(raw)
         for word in stops:
             ids[word] = ids[word[:-1]] + ids[word[-1:]]
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
+            self.held += ENTRY_BYTES + len(word) + len(ids[word])
 
+    def whole(self, text: str) -> bytes:
+        self.tokenizer.encode_special_tokens = False
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-def text_groups(column: pa.Array, chars: int = 4_000_000) -> Iterator[list[str]]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        whole = {n: self.whole(text) for n, text in enumerate(texts) if any(s in text for s in self.special)}
+        split = [[] if n in whole else text.encode().lower().split() for n, text in enumerate(texts)]
+        if self.held > self.most:
+            self.old, self.ids, self.held = self.ids, {}, 0
+        new = set().union(*split).difference(self.ids)
+        again = new.intersection(self.old)
+        for word in again:
+            self.ids[word] = self.old[word]
+            self.held += ENTRY_BYTES + len(word) + len(self.ids[word])
+        self.learn(new - again)
+        found = self.ids.__getitem__
+        return [whole[n] if n in whole else b"".join(map(found, words)) for n, words in enumerate(split)]
+
+
+def text_groups(column: pa.Array, chars: int = 500_000) -> Iterator[list[str]]:
     """The texts of a column in groups of bounded size, null as empty."""
     group, size = [], 0
     for text in column:
@@ -90,10 +118,10 @@ def text_groups(column: pa.Array, chars: int = 4_000_000) -> Iterator[list[str]]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 sequence: int = SEQUENCE) -> DataFrame:
+                 sequence: int = SEQUENCE, cache_bytes: int | None = None) -> DataFrame:
     """id, piece, start, ids (binary) of the pieces of each document, closed by `END_ID`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds.of(tokenizer), np.array([END_ID], "<u4").tobytes()
+        words, end = WordIds.of(tokenizer, cache_bytes), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             row = 0
             for group in text_groups(batch.column(1)):
@@ -255,14 +283,17 @@ def place_pieces(pieces: DataFrame, order: list[str], sequence: int = SEQUENCE)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                   sequence: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
+                   sequence: int = SEQUENCE, with_ids: bool = False, cache_bytes: int | None = None) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
+    `cache_bytes` bounds each half of what a worker remembers of words (`CACHE_BYTES`); less costs
+    time and changes nothing else.
+
     A null or empty text is one piece, the closing id alone. Only documents longer than a sequence
     are cut, at its multiples. Rows that repeat an id are documents each; a null id is packed like
     any other. Extra columns are ignored. An empty table gives no rows.
     """
-    pieces = token_pieces(docs, tokenizer, id_col, text_col, sequence)
+    pieces = token_pieces(docs, tokenizer, id_col, text_col, sequence, cache_bytes)
     pieces = pieces.select(
         id_col, "piece", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
         F.crc32("ids").alias("ids_crc32"), *(["ids"] if with_ids else []))

@@ -65,17 +65,26 @@ def texts():
     rng = random.Random(2)
     kinds = ["abcDE éß. ,", "the And ing, tion. ", "0. 1, ½\n\t\x85\xa0\x1c", "'s'LL'd. 't’X ", "中文 ابج😀İIı̇Σ. ",
              "<|endoftext|> #.,. "]
-    return ["", " ", "a.", "..", "a.,", "3.", "ab, c", "<|endoftext|>", "é.", "»."] + [
+    return ["", " ", "a.", "..", "a.,", "3.", "ab, c", "<|endoftext|>", "é.", "».", "Hello <|endoftext|> world.",
+            "a<|startoftext|>b", "<|ENDOFTEXT|>", "x <|EndOfText|>. y", "<|endoftext|", "|endoftext|>", "<|endoftext|>."] + [
         "".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randrange(80))) for _ in range(500)]
 
 
 def test_ids_equal_the_tokenizer():
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts(), add_special_tokens=False)]
     assert K.WordIds(PATH).encode(texts()) == want
 
 
+def test_small_memory(monkeypatch):
+    want = K.WordIds(PATH).encode(texts())
+    monkeypatch.setattr(K, "CACHE_BYTES", 3000)
+    monkeypatch.setattr(K, "NEW_WORDS", 7)
+    words = K.WordIds(PATH)
+    assert [words.encode([text])[0] for text in texts()] == want
+    assert words.held < 3000 + 30 * 400
+
+
 def test_layout(spark, data_dir):
     docs = spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "text")
     more = spark.createDataFrame([(-1, None), (-2, ""), (-3, "a b"), (-3, "a b"), (None, "c"),
@@ -84,7 +93,6 @@ def test_layout(spark, data_dir):
     packed = K.pack_documents(docs, PATH, with_ids=True)
     rows = packed.collect()
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     want = []
     for r in docs.collect():
         ids = np.array([*plain.encode(r["text"] or "", add_special_tokens=False).ids, 1], "<u4")
