@@ -19,9 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.text import NOT_BLANK, filled, lines_of, words_of
+from riskframe.operators.joins import lookup_join
+from riskframe.operators.quantiles import quantile_values
+from riskframe.session import cut_lineage
 
 BUCKETS = 16_384          # hashed n-gram buckets, a power of two
-TRUSTED_ROWS = 10_000     # labelled good rows the target model and the threshold are fitted on
 SCALE = 1_000_000         # weights are whole millionths
 HELD_OUT = 5              # one trusted row in so many sets the threshold instead of the weights
 CUT_SHARE = 0.002         # share of the held-out rows that may lie below the threshold
@@ -85,8 +87,8 @@ def pair_bucket(word_hash: Column, next_hash: Column) -> Column:
     return F.xxhash64(word_hash, next_hash).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """doc_id and held_out of at most `rows` good labelled documents, chosen by hash of the id.
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id and held_out of all good labelled documents, dealt by hash of the id.
 
     A document with both good and bad labels is not trusted.
     """
@@ -94,21 +96,25 @@ def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
                        F.coalesce(F.col("toxic"), F.lit(1)) != 0])
     ids = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(bad).alias("bad"))
     ids = ids.filter("NOT bad").select("doc_id")
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return ids.withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit("held out")),
                                              F.lit(HELD_OUT)) == 0)
 
 
-def fit_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> list[int]:
-    """Log-likelihood ratio of each bucket between trusted documents and the whole corpus.
+def with_trust(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`__text` and `held_out` (null where the document is not trusted) of each row."""
+    return lookup_join(docs.select(F.col(id_col).alias("doc_id"), filled(F.col(text_col)).alias("__text")),
+                       trusted, "doc_id").select("__text", "held_out")
 
-    Counts of the corpus cover all documents. Both are smoothed by one count a bucket.
+
+def fit_weights(texts: DataFrame) -> list[int]:
+    """Log-likelihood ratio of each bucket between the trusted texts of `with_trust` that are not
+    held out and the whole corpus. Both counts cover all texts and are smoothed by one a bucket.
     """
-    flags = F.broadcast(trusted.filter("NOT held_out").select("doc_id", F.lit(1).alias("good")))
-    words = docs.select(F.col(id_col).alias("doc_id"), words_of(F.lower(filled(F.col(text_col)))).alias("w"))
-    words = words.join(flags, "doc_id", "left").select(
-        F.coalesce("good", F.lit(0)).alias("good"),
-        F.explode(F.arrays_zip(F.col("w").alias("a"), F.slice(
+    words = texts.select(
+        F.coalesce((~F.col("held_out")).cast("int"), F.lit(0)).alias("good"),
+        words_of(F.lower(F.col("__text"))).alias("w"))
+    words = words.select(
+        "good", F.explode(F.arrays_zip(F.col("w").alias("a"), F.slice(
             "w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))).alias("b"))).alias("x"))
     words = words.select("good", F.xxhash64("x.a").alias("a"), F.when(
         F.col("x.b").isNotNull(), F.xxhash64("x.b")).alias("b"))
@@ -137,25 +143,22 @@ def mean_ratio(hashes: str, weights: list[int]) -> Column:
     return F.when(F.size(hashes) > 0, F.floor(total / (2 * F.size(hashes) - 1)).cast("long"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
-           trusted_rows: int) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """`__row` with the counts, base_failed, score and kept."""
-    trusted = trusted_sample(labels, trusted_rows)
-    weights = fit_weights(docs, trusted, id_col, text_col)
-    held_out = trusted.filter("held_out").select(F.col("doc_id").alias("__good"))
-    sample = docs.select(F.col(id_col).alias("__id"), filled(F.col(text_col)).alias("__text")).join(
-        F.broadcast(held_out), F.col("__id") == F.col("__good"), "left_semi")
-    sample = sample.select(F.transform(
+    texts = with_trust(docs, cut_lineage(trusted_ids(labels)), id_col, text_col)
+    weights = fit_weights(texts)
+    held_out = texts.filter("held_out").select(F.transform(
         words_of(F.lower(F.col("__text"))), lambda word: F.xxhash64(word)).alias("low"))
-    low = sample.filter(F.size("low") >= MIN_WORDS).agg(F.percentile(
-        mean_ratio("low", weights), F.lit(CUT_SHARE)).alias("low")).first()["low"]
+    scores = cut_lineage(held_out.filter(F.size("low") >= MIN_WORDS).select(
+        mean_ratio("low", weights).alias("score")))
+    low = quantile_values(scores, ["score"], [CUT_SHARE])["score"][0]
     rows = counted(docs, text_col).withColumn("score", mean_ratio("__low", weights)).drop("__low")
     passed = F.lit(True) if low is None else F.col("score") >= math.floor(low - CUT_MARGIN * SCALE)
     return rows.withColumn("kept", ~F.col("base_failed") & passed & (F.col("__at") >= 0))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text", trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+                  text_col: str = "text") -> DataFrame:
     """One row per document: id, the counts, base_failed, score, kept.
 
     `labels` has doc_id, quality, toxic. The threshold is the score that `CUT_SHARE` of the trusted
@@ -163,11 +166,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     has no words and fails the base rule. Rows that repeat an id are judged each by itself; null
     ids are judged like any other. Extra columns are ignored. An empty table gives no rows.
     """
-    rows = judged(docs.select(id_col, text_col), labels, id_col, text_col, trusted_rows)
+    rows = judged(docs.select(id_col, text_col), labels, id_col, text_col)
     return rows.select(F.col(f"__row.{id_col}").alias(id_col), *COUNTS, "score", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-              text_col: str = "text", trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+              text_col: str = "text") -> DataFrame:
     """The rows of the table that `quality_rules` keeps, all columns as they were."""
-    return judged(docs, labels, id_col, text_col, trusted_rows).filter("kept").select("__row.*")
+    return judged(docs, labels, id_col, text_col).filter("kept").select("__row.*")

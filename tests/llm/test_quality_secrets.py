@@ -2,6 +2,8 @@
 import hashlib
 import random
 import re
+import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -140,3 +142,43 @@ def test_query_digests(spark, data_dir):
         joined = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base)
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == n for _, k, _ in base) for n in range(3))
+
+
+def test_long_runs_and_many_matches(spark):
+    """Some seconds each where the time follows the length; minutes where it is squared."""
+    rng = random.Random(5)
+    blob = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789+/") for _ in range(400_000))
+    many = "".join(f"token={i:06d} {i:07d}abcdefghijklmno " for i in range(20_000))
+    texts = ["f" * 400_000, "see " + blob, "AKIA" * 50_000, "password=" * 30_000, many, "é " + many + "secret: abcdef"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = time.monotonic()
+    got = {r["doc_id"]: r for r in secrets.secret_spans(df).collect()}
+    assert time.monotonic() - start < 60
+    for i, text in enumerate(texts):
+        assert [tuple(s) for s in got[i]["base"]] == base_spans(text)
+
+
+def test_tokens_that_meet_a_span_are_told_apart(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(300):
+        edges = sorted(rng.sample(range(60), 2 * rng.randrange(9)))
+        spans = [(a, b) for a, b in zip(edges[::2], edges[1::2])]
+        start = rng.randrange(60)
+        end = start + 1 + rng.randrange(10)
+        rows.append((spans, (start, end), any(a < end and start < b for a, b in spans)))
+    df = spark.createDataFrame(rows, "s array<struct<start:int,end:int>>, t struct<start:int,end:int>, want boolean")
+    assert df.filter(secrets.meets(F.col("s"), F.col("t")) != F.col("want")).count() == 0
+
+
+def test_models_count_all_documents(spark):
+    rows = [(i, f"token = {'ab' * 12}{i:04d} wordwords") for i in range(2_500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    values = [f"{'ab' * 12}{i:04d}" for i, _ in rows]
+    found = spark.createDataFrame([([v],) for v in values], "values array<string>")
+
+    def steps(strings):
+        return Counter((ord(a) if a else 0, ord(b)) for s in strings for a, b in zip(["", *s], s))
+    # The word pattern also takes the letters that a value begins with.
+    plain = steps(["wordwords"] * 2_500 + ["ab" * 12] * 2_500)
+    assert secrets.train(df, found, "text") == secrets.ratio_table(steps(values), plain)
