@@ -1,5 +1,6 @@
 """Quality rules and secret scans against plain Python."""
 import hashlib
+import math
 import random
 import re
 import time
@@ -7,6 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from riskframe import config
 from riskframe.llm import quality, secrets
 from riskframe.llm.queries import QUERIES
 
@@ -182,3 +184,22 @@ def test_models_count_all_documents(spark):
     # The word pattern also takes the letters that a value begins with.
     plain = steps(["wordwords"] * 2_500 + ["ab" * 12] * 2_500)
     assert secrets.train(df, found, "text") == secrets.ratio_table(steps(values), plain)
+
+
+def test_all_trusted_documents_count(spark, monkeypatch):
+    """More labelled rows than any bound; the joins by broadcast and by shuffle agree."""
+    n = 10_500
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(n)] + [(3, 0, 0)], "doc_id long, quality int, toxic int")
+    trusted = quality.trusted_ids(labels)
+    held = {r["doc_id"]: r["held_out"] for r in trusted.collect()}
+    assert set(held) == set(range(n)) - {3}
+    docs = spark.createDataFrame([(i, "x") for i in range(n + 500)] + [(None, "x"), (0, "x")], "doc_id long, text string")
+    good = sum(not held[i] for i in held) + (not held[0])
+    raw, bucket = n + 502, spark.range(1).select(quality.single_bucket(F.xxhash64(F.lit("x")))).first()[0]
+    ratio = math.log(1 + good) - math.log(1 + raw)
+    shift = math.log(quality.BUCKETS + raw) - math.log(quality.BUCKETS + good)
+    for most in (200_000, 100):
+        monkeypatch.setattr(config, "MAX_BROADCAST_ROWS", most)
+        weights = quality.fit_weights(quality.with_trust(docs, trusted, "doc_id", "text"))
+        assert weights[bucket] == round(1_000_000 * (ratio + shift))
+        assert set(weights[:bucket] + weights[bucket + 1:]) == {round(1_000_000 * shift)}
