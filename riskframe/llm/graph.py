@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe import config
 from riskframe.session import cut_lineage
 
 
@@ -19,12 +20,17 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = cut_lineage(edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    # Few edges, no more than may be broadcast, need no shuffles: those would cost more than the work.
+    few = now.count() <= config.MAX_BROADCAST_ROWS
     state = None
     while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        now = now.coalesce(1) if few else now
+        both = now.select(F.explode(F.array(
+            F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = cut_lineage(large.filter("a <> b").distinct())
+        large = large.coalesce(1) if few else large
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))

@@ -6,7 +6,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from riskframe.llm import simhash
+from riskframe import config
+from riskframe.llm import graph, simhash
+from riskframe.session import cut_lineage
 
 
 def plain_fingerprint(text):
@@ -99,3 +101,27 @@ def test_documents(spark):
 
 def test_empty_table(spark):
     assert simhash.simhash_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_few_edges_are_contracted_without_shuffles(spark, monkeypatch):
+    rng = random.Random(7)
+    edges = [(i, i + 1) for i in range(400) if i % 57] + [(1000, 1000 + i) for i in range(50)]
+    edges += [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(200)]
+    least = {x: x for edge in edges if edge[0] != edge[1] for x in edge}
+    for _ in range(len(least)):
+        for a, b in edges:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    df = spark.createDataFrame(rng.sample(edges, len(edges)), "a long, b long")
+    plans = []
+
+    def noted(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(frame)
+    monkeypatch.setattr(graph, "cut_lineage", noted)
+    for most, shuffled in ((200_000, False), (100, True)):
+        plans.clear()
+        monkeypatch.setattr(config, "MAX_BROADCAST_ROWS", most)
+        assert {r["node"]: r["component"] for r in graph.components(df).collect()} == least
+        assert any("hashpartitioning" in plan for plan in plans[1:]) == shuffled
+    assert graph.components(df.limit(0)).count() == 0
