@@ -4,9 +4,10 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskframe.llm import graph, linking, neardup
+from riskframe.llm import graph, linking, neardup, quality
 from riskframe.llm.oracles import ORACLES
 from riskframe.llm.queries import QUERIES
 
@@ -122,3 +123,17 @@ def test_query_equals_twin(spark, data_dir, name):
     ours = QUERIES[name](spark, data_dir)
     assert sorted(names) == sorted(ours.columns)
     assert sorted(map(repr, map(tuple, ours.select(names).collect()))) == sorted(map(repr, theirs.fetchall()))
+
+
+def test_quality_stage_takes_all_trusted_documents(spark, tmp_path, monkeypatch):
+    n, seen = 10_200, []
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("some words of a text").alias("text"))
+    docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    fit = quality.fit_weights
+
+    def noted(texts):
+        seen.append(texts.filter("held_out IS NOT NULL").count())
+        return fit(texts)
+    monkeypatch.setattr(quality, "fit_weights", noted)
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).columns == docs.columns
+    assert seen == [n]
