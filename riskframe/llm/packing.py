@@ -1,7 +1,9 @@
 """Packing of tokenised documents into sequences of fixed length.
 
 1. *Tokens.* Each document is encoded in a task, word by word: the tokenizer drops white space and
-   no token crosses it, so a word's ids are remembered. Ids leave the task as one binary column.
+   no token crosses it, so a word's ids are remembered. A word met for the first time is parted from
+   the marks at its end; one of letters alone goes to the merges without the steps before them,
+   which would only lower its case. Ids leave the task as one binary column.
 2. *Histogram.* Pieces of equal length are interchangeable, so the plan is made from the number of
    pieces of each length: at most `SEQUENCE` numbers, however many documents there are.
 3. *Reduction* after Martello and Toth: a bin whose contents provably dominate every other way to
@@ -15,6 +17,7 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -30,6 +33,10 @@ END_ID = 1                # closes each document
 CACHE_BYTES = 100_000_000  # of words and their ids in each of the two halves of a worker's memory
 ENTRY_BYTES = 200          # of an entry besides its word and ids
 NEW_WORDS = 5_000          # words encoded at once
+GROUP_CHARS = 1_000_000    # of texts encoded at once
+MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS = {chr(code).encode() for code in range(0xC0, 0x100) if chr(code).isalpha()}   # À to ÿ
+PLAIN = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")   # one run of composed letters
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]   # ((length, how often), ...), copies
 
@@ -47,11 +54,19 @@ class WordIds:
     loaded: dict[str, WordIds] = {}
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # The same merges without normalizer and pattern. The suffix shows where a word ends.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closes[[n for token, n in self.merges.get_vocab().items() if token.endswith(suffix)]] = True
         self.ids: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.held = 0
@@ -64,51 +79,79 @@ class WordIds:
         cls.loaded[path].most = cache_bytes or CACHE_BYTES
         return cls.loaded[path]
 
+    def remind(self, words: set[bytes]) -> set[bytes]:
+        """Take words over from the old half; those that are not in it."""
+        new = words.difference(self.old)      # a set's intersection with a dict would walk all of the dict
+        for word in words - new:
+            self.ids[word] = self.old[word]
+            self.held += ENTRY_BYTES + len(word) + len(self.ids[word])
+        return new
+
     def learn(self, words: set[bytes]) -> None:
         """Remember the ids of new words."""
-        # A stop or comma after a letter or digit at a word's end is a token of its own.
-        stops = {word for word in words if word[-1:] in (b".", b",") and word[-2:-1].isalnum()}
-        plain = list((words - stops | {word[:-1] for word in stops} | {b".", b","}).difference(self.ids))
-        # Lower-cased words may look like special tokens; they are not.
-        self.tokenizer.encode_special_tokens = True
+        # Marks after a letter or digit, up to the word's end, are tokens of their own.
+        ends = {}
+        for word in words:
+            if word[-1] in MARKS:
+                stem = word.rstrip(MARKS)
+                if stem[-1:].isalnum() or stem[-2:] in LETTERS:
+                    ends[word] = stem
+        parts = words.difference(ends)
+        parts.update(ends.values(), {word[len(stem):] for word, stem in ends.items()})
+        plain, others = [], []
+        for word in self.remind(parts.difference(self.ids)):
+            text = word.decode()
+            (plain if PLAIN.fullmatch(text) else others).append((word, text))
+        for found, encode in ((plain, self.merged), (others, self.normalised)):
+            for start in range(0, len(found), NEW_WORDS):
+                part = found[start:start + NEW_WORDS]
+                raw, cuts = encode([text for _, text in part])
+                self.ids.update((word, raw[low:high]) for (word, _), low, high in zip(
+                    part, cuts, cuts[1:], strict=False))
+                self.held += ENTRY_BYTES * len(part) + sum(len(word) for word, _ in part) + len(raw)
         ids = self.ids
-        for start in range(0, len(plain), NEW_WORDS):
-            part = plain[start:start + NEW_WORDS]
-            found = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            raw, owners = array("I", found.ids).tobytes(), np.array(found.word_ids, np.int64)
-            cuts = np.searchsorted(owners, np.arange(len(part) + 1)).tolist()
-            for word, low, high in zip(part, cuts, cuts[1:], strict=False):
-                ids[word] = raw[4 * low:4 * high]
-            self.held += ENTRY_BYTES * len(part) + sum(map(len, part)) + len(raw)
-        for word in stops:
-            ids[word] = ids[word[:-1]] + ids[word[-1:]]
+        for word, stem in ends.items():
+            ids[word] = ids[stem] + ids[word[len(stem):]]
             self.held += ENTRY_BYTES + len(word) + len(ids[word])
 
+    def merged(self, words: list[str]) -> tuple[bytes, list[int]]:
+        """The ids of words of letters alone, and in which bytes each word's begin and end."""
+        ids = np.array(self.merges.encode_batch_fast([" ".join(words).lower()], add_special_tokens=False)[0].ids, "<u4")
+        after = np.flatnonzero(self.closes[ids]) + 1
+        if len(after) != len(words):
+            raise ValueError("the tokenizer does not close each word with its suffix")
+        return ids.tobytes(), [0, *(4 * after).tolist()]
+
+    def normalised(self, words: list[str]) -> tuple[bytes, list[int]]:
+        """The same of any words, by all steps of the tokenizer."""
+        # Lower-cased words may look like special tokens; they are not.
+        self.tokenizer.encode_special_tokens = True
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        owners = np.array(found.word_ids, np.int64)
+        cuts = 4 * np.searchsorted(owners, np.arange(len(words) + 1))
+        return array("I", found.ids).tobytes(), cuts.tolist()
+
     def whole(self, text: str) -> bytes:
         self.tokenizer.encode_special_tokens = False
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        whole = {n: self.whole(text) for n, text in enumerate(texts) if any(s in text for s in self.special)}
-        split = [[] if n in whole else text.encode().lower().split() for n, text in enumerate(texts)]
+    def encode(self, texts: list[str] | list[bytes]) -> list[bytes]:
+        """The ids of each text, given as such or in UTF-8, as little-endian unsigned 32-bit numbers."""
+        raw = [text.encode() if isinstance(text, str) else text for text in texts]
+        whole = {n: self.whole(text.decode()) for n, text in enumerate(raw) if any(s in text for s in self.special)}
+        split = [[] if n in whole else text.lower().split() for n, text in enumerate(raw)]
         if self.held > self.most:
             self.old, self.ids, self.held = self.ids, {}, 0
-        new = set().union(*split).difference(self.ids)
-        again = new.intersection(self.old)
-        for word in again:
-            self.ids[word] = self.old[word]
-            self.held += ENTRY_BYTES + len(word) + len(self.ids[word])
-        self.learn(new - again)
+        self.learn(self.remind(set().union(*split).difference(self.ids)))
         found = self.ids.__getitem__
         return [whole[n] if n in whole else b"".join(map(found, words)) for n, words in enumerate(split)]
 
 
-def text_groups(column: pa.Array, chars: int = 500_000) -> Iterator[list[str]]:
-    """The texts of a column in groups of bounded size, null as empty."""
-    group, size = [], 0
+def text_groups(column: pa.Array, chars: int = 500_000) -> Iterator[list]:
+    """The texts of a column, or their bytes, in groups of bounded size, null as empty."""
+    group, size, empty = [], 0, b"" if pa.types.is_binary(column.type) else ""
     for text in column:
-        group.append(text.as_py() or "")
+        group.append(text.as_py() or empty)
         size += len(group[-1])
         if size >= chars:
             yield group
@@ -124,7 +167,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         words, end = WordIds.of(tokenizer, cache_bytes), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             row = 0
-            for group in text_groups(batch.column(1)):
+            for group in text_groups(batch.column(1).cast(pa.binary()), GROUP_CHARS):
                 rows, pieces, parts = [], [], []
                 for ids in words.encode(group):
                     ids += end

@@ -1,5 +1,6 @@
 """Packing: exact ids, a gapless layout, reductions that keep an optimum."""
 import random
+import time
 import zlib
 
 import numpy as np
@@ -76,6 +77,44 @@ def test_ids_equal_the_tokenizer():
     assert K.WordIds(PATH).encode(texts()) == want
 
 
+def test_words_of_letters_skip_the_other_steps():
+    class Counting:
+        encoded = 0
+
+        def __init__(self, tokenizer):
+            self.__dict__["tokenizer"] = tokenizer
+
+        def encode(self, words, **how):
+            Counting.encoded += len(words)
+            return self.tokenizer.encode(words, **how)
+
+        def __setattr__(self, name, value):
+            setattr(self.tokenizer, name, value)
+
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCéÉßÿÞñ"
+    marks = ["", "", ".", ",", "***", "$$$", "').", "?!", "'", "|>"]
+    stems = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 15))) for _ in range(3000)]
+    odd = ["İx.", "ſ,", "e\u0301.", "º.", "×.", "a×!", "÷", "\u212b.", "\u212a", "ϒΣ.", "don't.", "'s.", "a'd'.", "x\xa0y.", "7%%"]
+    texts = [" ".join(stem + rng.choice(marks) for stem in rng.sample(stems, 50)) for _ in range(200)] + odd
+    plain = Tokenizer.from_file(PATH)
+    want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    words = K.WordIds(PATH)
+    words.tokenizer = Counting(words.tokenizer)
+    assert words.encode(texts) == want
+    assert words.encode([text.encode() for text in texts]) == want
+    assert Counting.encoded < 50
+
+
+def test_old_half_is_not_walked():
+    words = K.WordIds(PATH)
+    words.old = {b"%d" % n: b"" for n in range(1_000_000)}
+    began = time.process_time()
+    for n in range(1000):
+        words.encode([f"w{n}"])
+    assert time.process_time() - began < 5
+
+
 def test_small_memory(monkeypatch):
     want = K.WordIds(PATH).encode(texts())
     monkeypatch.setattr(K, "CACHE_BYTES", 3000)
