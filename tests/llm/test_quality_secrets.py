@@ -203,3 +203,36 @@ def test_all_trusted_documents_count(spark, monkeypatch):
         weights = quality.fit_weights(quality.with_trust(docs, trusted, "doc_id", "text"))
         assert weights[bucket] == round(1_000_000 * (ratio + shift))
         assert set(weights[:bucket] + weights[bucket + 1:]) == {round(1_000_000 * shift)}
+
+
+def test_all_trusted_documents_set_the_threshold(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("the of and risk site flood wall river".split()) for _ in range(rng.choice([5, 20, 30]))))
+            for i in range(60)]
+    docs = spark.createDataFrame([*rows, (None, "x " * 30), (7, rows[7][1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    seen, quantiles = [], quality.quantile_values
+
+    def noted(scores, *rest):
+        seen.append(sorted(r["score"] for r in scores.collect()))
+        return quantiles(scores, *rest)
+    monkeypatch.setattr(quality, "quantile_values", noted)
+    quality.quality_rules(docs, labels)
+    trusted = [(i, t) for i, t in [*rows, rows[7]] if i < 40 and len(t.split()) >= 20]
+    assert len(seen[0]) == len(trusted)
+    texts = quality.with_trust(docs, quality.trusted_ids(labels), "doc_id", "text")
+    tables = quality.fold_weights(texts, quality.fit_weights(texts))
+    scores = []
+    for fold in range(quality.FOLDS):
+        plain = quality.fit_weights(texts.withColumn("held_out", F.col("fold") == fold))
+        assert max(abs(a - b) for a, b in zip(plain, tables[fold], strict=True)) <= 2
+        own = texts.filter(F.col("fold") == fold).select(F.transform(
+            F.split("__text", " "), lambda w: F.xxhash64(w)).alias("h")).filter(F.size("h") >= 20)
+        scores += [r[0] for r in own.select(quality.mean_ratio("h", tables[fold])).collect()]
+    assert seen[0] == sorted(scores)
+
+
+def test_one_trusted_document_sets_no_threshold(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(25))) for i in range(5)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    assert all(r["kept"] for r in quality.quality_rules(docs, labels).collect())
