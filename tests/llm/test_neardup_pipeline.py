@@ -137,3 +137,16 @@ def test_quality_stage_takes_all_trusted_documents(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(quality, "fit_weights", noted)
     assert corpus_pipeline.quality(spark, docs, str(tmp_path)).columns == docs.columns
     assert seen == [n]
+
+
+def test_quality_stage_sets_its_threshold_by_all_trusted_documents(spark, tmp_path, monkeypatch):
+    seen, quantiles = [], quality.quantile_values
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some words " * 12).alias("text"))
+    docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+
+    def noted(scores, *rest):
+        seen.append(scores.count())
+        return quantiles(scores, *rest)
+    monkeypatch.setattr(quality, "quantile_values", noted)
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).columns == docs.columns
+    assert seen == [300]
