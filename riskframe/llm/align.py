@@ -1,7 +1,8 @@
 """Alignment of two tokenizers over the same texts: a byte-level BPE (A) and a sentence-piece BPE (B).
 
 1. *Coarse cuts.* Texts are taken apart at single blanks between words, where no token of either can
-   cross; each stretch is encoded once and remembered. A's character offsets and B's spans say where
+   cross, and so are runs of letters, of marks and line breaks within; each part is encoded once and
+   remembered. A's character offsets and B's spans say where
    tokens end. Where they do not tell tokens apart - several of one multibyte character, bytes that
    stand for an unknown one - the tokens' decoded bytes do.
 2. *Groups and links.* Offsets where tokens of both end cut the stretch into groups. Between two
@@ -20,6 +21,7 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,9 @@ from riskframe.llm.packing import text_groups
 from riskframe.session import cut_lineage
 
 HOT_PAIRS = 1_000_000          # pairs whose counts are broadcast: 16 MB
-CACHE_BYTES = 128_000_000      # of remembered stretches a worker keeps
-ENTRY_BYTES = 350              # of one besides its text, groups and links
-NEW_STRETCHES = 20_000         # stretches encoded at once
+CACHE_BYTES = 150_000_000      # of remembered parts in each of the two halves of a worker's memory
+ENTRY_BYTES = 300              # of one besides its text, groups and links
+NEW_STRETCHES = 20_000         # parts encoded at once
 GROUP_CHARS = 1_000_000        # characters of texts handled at once, unless one has more
 TASK_PAIRS = 1_000_000         # pairs a task counts before it hands them on
 
@@ -43,8 +45,9 @@ _BLANK = "\\s" + THIN
 CUT = re.compile(f"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
 UNEVEN = re.compile(f" [{_BLANK}]|[{_BLANK}] ")
 WORD_MARK = "\u2581"
-STOPS = ".,;:!?"
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"   # no apostrophe: A takes some letters with it
 FALLBACK = re.compile("<0x([0-9A-F]{2})>")
+SPAN = attrgetter("id", "begin", "end")
 
 
 def byte_letters() -> dict[str, int]:
@@ -64,8 +67,15 @@ def refined(ends: np.ndarray, clean: np.ndarray, lengths: np.ndarray) -> np.ndar
     return decoded + np.where(last >= 0, shift[np.maximum(last, 0)], 0)
 
 
+Aligned = tuple[str, bytes, int]   # groups, link keys, and the numbers of A tokens, B tokens and groups
+
+
 class Aligner:
-    """Both tokenizers and the stretches a worker remembers."""
+    """Both tokenizers and the parts a worker remembers: stretches, which stand after a blank, under their
+    text, and what stands within stretches under its bytes.
+
+    A full memory becomes the old half, from which parts that are met again are taken over.
+    """
 
     loaded: dict[tuple[str, str], Aligner] = {}
 
@@ -94,15 +104,21 @@ class Aligner:
         self.key_type = "<u4" if len(self.a_bytes) * len(pieces) <= 1 << 32 else "<i8"
         # A piece with a blank after other characters could join two stretches.
         self.cuts = all(WORD_MARK not in p.lstrip(WORD_MARK) for p in pieces)
-        # A stop after a letter at a stretch's end is a token of its own, unless a piece holds both.
-        self.stops = {}
-        for stop in STOPS if self.cuts else "":
-            if not any(x.isalpha() and y == stop for p in pieces for x, y in zip(p, p[1:], strict=False)):
-                a, b = (found[-1] for found in (self.a.encode(f"a{stop}", add_special_tokens=False).ids, self.b.encode(f"a{stop}")))
-                if self.a_bytes[a] == self.b_bytes[b] == stop.encode():
-                    key = np.array([a * len(pieces) + b], self.key_type).tobytes()
-                    self.stops[stop] = f"{a}|{b};", key
-        self.known: dict[str, tuple | None] = {}
+        # A mark after a letter begins a token, unless a piece holds both; so does a line break between
+        # them, and what follows it.
+        inside = {pair for i, p in enumerate(pieces) if not (
+            self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)) for pair in zip(p, p[1:], strict=False)}
+        after_letters = {y for x, y in inside if x.isalpha()}
+        self.marks = "".join(m for m in MARKS if m not in after_letters and self._parts_at(f"a{m}\na"))
+        lines = self._parts_at("a\na") and not any("\n" in pair for pair in inside)
+        letters, more = r"[^\W\d_]+", f"[{re.escape(self.marks)}]" if self.marks else "(?!)"
+        # Not to be matched where line breaks are no borders.
+        feed = r"\n" if lines else "(?!)"
+        self.shape = re.compile(f"{letters}{more}*(?:{feed}{letters}{more}*)*")
+        self.part = re.compile(rf"\n?{letters}|{more}+")
+        self.known: dict[str | bytes, Aligned | None] = {}
+        self.old: dict[str | bytes, Aligned | None] = {}
+        self.numbers: dict[int, int] = {}     # one object for all parts of the same numbers
         self.held = 0
 
     @classmethod
@@ -119,31 +135,74 @@ class Aligner:
             return CUT.split(text)
         return text.split(" ")
 
-    def learn(self, stretches: list[str]) -> None:
-        """Align a blank and each stretch, and remember the results.
+    def _parts_at(self, text: str) -> bool:
+        """Whether A takes a text apart at each character."""
+        found = self.a.pre_tokenizer.pre_tokenize_str(text)
+        return [span for _, span in found] == [(i, i + 1) for i in range(len(text))]
 
-        They are encoded as one text with blanks between, which no token crosses. Those that would join
-        with a neighbour's blank, or do not give back their bytes, are encoded by themselves.
+    def parts(self, stretch: str) -> list[str | bytes]:
+        """What a stretch consists of, where no token crosses from one to the next: its first letters,
+        then, in bytes, runs of marks and of letters with the line break before them. A stretch that is
+        not built like that is its only part."""
+        if not self.cuts:
+            return [stretch]
+        first = stretch.rstrip(self.marks)
+        if first.isalpha():
+            return [first, stretch[len(first):].encode()] if len(first) < len(stretch) else [stretch]
+        if not self.shape.fullmatch(stretch):
+            return [stretch]
+        first, *rest = self.part.findall(stretch)
+        # The pattern takes some numbers for letters.
+        if not all(part.lstrip("\n").isalpha() for part in (first, *rest) if part[-1].isalnum()):
+            return [stretch]
+        return [first, *map(str.encode, rest)]
+
+    def remind(self, parts: set[str | bytes]) -> set[str | bytes]:
+        """Take parts over from the old half; those that are not in it."""
+        new = parts.difference(self.old)      # a set's intersection with a dict would walk all of the dict
+        for part in parts - new:
+            self.keep(part, self.old[part])
+        return new
+
+    def learn(self, parts: list[str | bytes]) -> None:
+        """Align parts and remember the results.
+
+        They are encoded as one text, stretches with a blank before them, which no token crosses, then
+        what stands within stretches, marks after a letter. Those that would join with a neighbour's blank,
+        or do not give back their bytes, are encoded by themselves.
         """
-        even = [s for s in stretches if self.cuts and s and not (
+        within = [p for p in parts if isinstance(p, bytes)]
+        stretches = [p for p in parts if isinstance(p, str)] if within else parts
+        even = [(s, " " + s) for s in stretches if s.isalpha() or self.cuts and s and not (
             s[0].isspace() or s[-1].isspace() or s[0] in THIN or s[-1] in THIN or WORD_MARK in s)]
-        if even and not self._aligned(even):
-            even = []
-        for stretch in set(stretches).difference(even) if len(even) < len(stretches) else ():
-            if not self._aligned([stretch]):
-                self.keep(stretch, None)
-
-    def keep(self, stretch: str, found: tuple[str, bytes, int] | None) -> None:
-        self.known[stretch] = found
-        self.held += ENTRY_BYTES + len(stretch) + (len(found[0]) + len(found[1]) if found else 0)
-
-    def _aligned(self, stretches: list[str]) -> bool:
-        """Remember the groups and links of stretches encoded together; False if their bytes do not
-        come back or their borders are not where tokens end."""
-        text = " " + " ".join(stretches)
+        feeds = [(p, p.decode()) for p in within if p.startswith(b"\n")]
+        marks = (self._in_place(p) for p in within if not p.startswith(b"\n"))
+        together = [*even, *([("a", " a")] if feeds else []), *feeds, *chain.from_iterable(marks)]
+        if together and self._aligned(together):
+            if len(even) == len(stretches):
+                return
+            done = {s for s, _ in even}.union(within)
+        else:
+            done = set()
+        for part in set(parts).difference(done):
+            if not self._aligned(self._in_place(part) if isinstance(part, bytes) else [(part, " " + part)]):
+                self.keep(part, None)
+
+    def _in_place(self, part: bytes) -> list[tuple[str | bytes, str]]:
+        """A part that stands within stretches, and its text, behind a stretch that it may follow."""
+        return [("a", " a"), (part, part.decode())]
+
+    def keep(self, part: str | bytes, found: Aligned | None) -> None:
+        self.known[part] = found
+        self.held += ENTRY_BYTES + len(part) + (len(found[0]) + len(found[1]) if found else 0)
+
+    def _aligned(self, parts: list[tuple[str | bytes, str]]) -> bool:
+        """Remember the groups and links of parts whose texts are encoded together; False if their bytes do
+        not come back or their borders are not where tokens end."""
+        texts = [text for _, text in parts]
+        text = "".join(texts)
         raw = text.encode()
-        sizes = np.fromiter((len(s.encode()) + 1 for s in stretches), np.int64, len(stretches))
-        stops = np.cumsum(sizes)
+        stops = np.cumsum(np.fromiter(map(len, map(str.encode, texts)), np.int64, len(texts)))
         found = self.a.encode(text, add_special_tokens=False)
         ids_a = np.array(found.ids, np.int64)
         spans = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids_a)).reshape(-1, 2)
@@ -154,7 +213,7 @@ class Aligner:
         ends_a = refined(spans[:, 1], spans[:, 1] <= after, self.a_sizes[ids_a])
 
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        flat = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for p in pieces), np.int64, 3 * len(pieces))
+        flat = np.fromiter(chain.from_iterable(map(SPAN, pieces)), np.int64, 3 * len(pieces))
         ids_b, begins, ends_b = flat.reshape(-1, 3).T
         # Spans are bytes of the text after the first blank.
         ends_b = refined(ends_b + 1, ends_b > begins, self.b_sizes[ids_b])
@@ -177,12 +236,15 @@ class Aligner:
         last_a, last_b, last_link, last_group = (
             (np.searchsorted(x, stops, "right")).tolist() for x in (ends_a, ends_b, cuts, both))
         packed, size = keys.tobytes(), keys.itemsize
+        known, numbers, held = self.known, self.numbers, ENTRY_BYTES * len(parts) + len(raw) + len(packed)
         a = b = link = group = 0
-        for k, stretch in enumerate(stretches):
-            x, y, z, g = last_a[k], last_b[k], last_link[k], last_group[k]
-            parts, links = "".join(names[a + b:x + y]), packed[size * link:size * z]
-            self.keep(stretch, (parts, links, (x - a) | (y - b) << 32 | (g - group) << 64))
+        for (part, _), x, y, z, g in zip(parts, last_a, last_b, last_link, last_group, strict=True):
+            groups = "".join(names[a + b:x + y])
+            number = (x - a) | (y - b) << 32 | (g - group) << 64
+            known[part] = groups, packed[size * link:size * z], numbers.setdefault(number, number)
+            held += len(groups)
             a, b, link, group = x, y, z, g
+        self.held += held
         return True
 
     def align(self, texts: list[str]) -> list[tuple[str, np.ndarray, int, int, int] | None]:
@@ -190,20 +252,27 @@ class Aligner:
         text without tokens."""
         cut = [self.stretches(text) if text else [] for text in texts]
         if self.held > CACHE_BYTES:
-            self.known, self.held = {}, 0
+            self.old, self.known, self.numbers, self.held = self.known, {}, {}, 0
         known = self.known
-        new = set().union(*cut).difference(known)
-        stopped = {s for s in new if s[-1:] in self.stops and s[-2:-1].isalpha()}
-        new = list((new - stopped).union(s[:-1] for s in stopped).difference(known))
+        new = self.remind(set().union(*cut).difference(known))
+        built = {s: parts for s in new if len(parts := self.parts(s)) > 1}
+        new.difference_update(built)
+        new.update(self.remind(set(chain.from_iterable(built.values())).difference(known, new)))
+        new = list(new)
         start = chars = 0
-        for stop, stretch in enumerate(new, 1):
-            chars += len(stretch)
+        for stop, part in enumerate(new, 1):
+            chars += len(part)
             if stop - start >= NEW_STRETCHES or chars >= GROUP_CHARS or stop == len(new):
                 self.learn(new[start:stop])
                 start, chars = stop, 0
-        for stretch in stopped:
-            rest, (group, link) = known[stretch[:-1]], self.stops[stretch[-1]]
-            self.keep(stretch, rest and (rest[0] + group, rest[1] + link, rest[2] + (1 | 1 << 32 | 1 << 64)))
+        for stretch, parts in built.items():
+            found = [known[part] for part in parts]
+            if None in found:
+                self.keep(stretch, None)
+            else:
+                groups, raw, numbers = zip(*found, strict=True)
+                number = sum(numbers)
+                self.keep(stretch, ("".join(groups), b"".join(raw), self.numbers.setdefault(number, number)))
         out = []
         for parts in cut:
             found = list(map(known.__getitem__, parts))

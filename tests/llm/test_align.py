@@ -113,6 +113,46 @@ def test_small_memory_and_small_slices(spark, monkeypatch):
             assert a[0] == b[0] == c[0] and (a[1] == b[1]).all() and (a[1] == c[1]).all() and a[2:] == b[2:] == c[2:]
 
 
+def test_runs_of_letters_and_marks_are_parts():
+    aligner = align.Aligner(PATH_A, PATH_B)
+    assert aligner.parts("abc.\nÉté,%%%") == ["abc", b".", "\nÉté".encode(), b",%%%"]
+    for whole in ["abc", "a.b", "it's", "x².", "½", "2.", "a\n\nb", "a.\n", "\na", "$$$", "e\u0301.", "a_b", "a\r\nb", "don't.\na"]:
+        assert aligner.parts(whole) == [whole]
+    # What Python takes for letters, A does too.
+    letters = "".join(c for c in map(chr, range(0x110000)) if c.isalpha())
+    assert len(aligner.a.pre_tokenizer.pre_tokenize_str(letters)) == 1
+
+
+def test_parts_are_encoded_once(monkeypatch):
+    heads, tails = ["underdog", "Éclair", "жизнь", "中文"], ["", ".", "$$$", ",%%%", "!!", ".\nOver", "\nOver&&&", ")."]
+    aligner, given = align.Aligner(PATH_A, PATH_B), " ".join(h + t for h in heads for t in tails)
+    encoded, encode = [], aligner.b.encode
+    monkeypatch.setattr(aligner.b, "encode", lambda text, **more: encoded.append(text) or encode(text, **more))
+    got = aligner.align([given])[0]
+    assert sum("underdog" in text for text in encoded) == sum(text.count("underdog") for text in encoded) == 1
+    assert sum(text.count("\nOver") for text in encoded) == 1
+    want = plain([given])[0]
+    assert (got[2], got[3], got[4], len(got[1])) == want[:4]
+    assert hashlib.sha256(got[0].encode()).hexdigest() == want[6]
+
+
+@pytest.mark.parametrize("most", [10**9, 2_000])
+def test_mixed_parts_equal_whole_texts(monkeypatch, most):
+    monkeypatch.setattr(align, "CACHE_BYTES", most)
+    rng = random.Random(4)
+    pieces = ["word", "Été", "жизнь", "中文", "ª", "µ", "ǅ", "²", "½", "7", "e\u0301", "𐐀", "\U00032380", ".", ",", "$$$", "%%%", "'s", "'", "’", "_",
+              "<|endoftext|>", "<s>", "<0x41>", "\n", "\n", "\n", "\r\n", "\t", " ", " ", " ", "\x00", "😀", "\\", "]", "-", "^"]
+    given = ["".join(rng.choices(pieces, k=rng.randrange(1, 9))) for _ in range(1_500)]
+    aligner, rows = align.Aligner(PATH_A, PATH_B), plain(given)
+    found = [x for at in range(0, len(given), 50) for x in aligner.align(given[at:at + 50])]
+    for text, got, want in zip(given, found, rows, strict=True):
+        if got is None:
+            assert want[:4] == (0, 0, 0, 0), text
+        else:
+            digest = hashlib.sha256(got[0].encode()).hexdigest()
+            assert (got[2], got[3], got[4], len(got[1]), digest) == (*want[:4], want[6]), text
+
+
 def test_spans_and_bytes_refine_each_other():
     import numpy as np
     ends_ = np.array([3, 5, 5, 5, 9])
