@@ -19,14 +19,16 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from riskframe.llm.text import NOT_BLANK, filled, lines_of, words_of
-from riskframe.operators.joins import lookup_join
+from riskframe.operators.joins import lookup_join, pin_small
 from riskframe.operators.quantiles import quantile_values
 from riskframe.session import cut_lineage
 
 BUCKETS = 16_384          # hashed n-gram buckets, a power of two
 SCALE = 1_000_000         # weights are whole millionths
+MAX_BITMAPS = 4_096       # of 32,768 ids and 4 KB each, broadcast where trusted ids are too many
 FOLDS = 5                 # of trusted rows, each scored by weights of the others for the threshold
 CUT_SHARE = 0.002         # share of the trusted rows that may lie below the threshold
 CUT_MARGIN = 0.05         # and the distance kept from it
@@ -99,14 +101,36 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
                        F.coalesce(F.col("toxic"), F.lit(1)) != 0])
     ids = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(bad).alias("bad"))
     return ids.filter("NOT bad").select(
-        "doc_id", F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(FOLDS)).cast("int").alias("fold"),
-        F.lit(False).alias("held_out"))
+        "doc_id", fold_of(F.col("doc_id")).alias("fold"), F.lit(False).alias("held_out"))
+
+
+def fold_of(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id, F.lit("held out")), F.lit(FOLDS)).cast("int")
 
 
 def with_trust(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """`__text`, `fold` and `held_out` (both null where the document is not trusted) of each row."""
-    return lookup_join(docs.select(F.col(id_col).alias("doc_id"), filled(F.col(text_col)).alias("__text")),
-                       trusted, "doc_id").select("__text", "fold", "held_out")
+    """`__text`, `fold` and `held_out` (both null where the document is not trusted) of each row.
+
+    More ids than a broadcast may hold are broadcast as bitmaps where they are whole numbers that lie
+    close enough for `MAX_BITMAPS`; else the texts are shuffled to them.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), filled(F.col(text_col)).alias("__text"))
+    kinds = rows.schema["doc_id"].dataType, trusted.schema["doc_id"].dataType
+    small = pin_small(trusted)
+    bitmaps = None
+    if small is None and all(isinstance(kind, IntegralType) for kind in kinds):
+        bitmaps = pin_small(trusted.groupBy(F.bitmap_bucket_number("doc_id").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("doc_id")).alias("bits")), MAX_BITMAPS)
+    if bitmaps is None:
+        found = lookup_join(rows, trusted if small is None else small, "doc_id", pinned=small is not None)
+        return found.select("__text", "fold", "held_out")
+    at = F.bitmap_bit_position("doc_id")
+    byte = F.conv(F.hex(F.substr("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    trust = F.getbit(byte, (at % 8).cast("int")) == 1
+    found = rows.withColumn("bucket", F.bitmap_bucket_number("doc_id")).join(
+        F.broadcast(bitmaps), "bucket", "left")
+    return found.select("__text", F.when(trust, fold_of(F.col("doc_id").try_cast(kinds[1]))).alias("fold"),
+                        F.when(trust, F.lit(False)).alias("held_out"))
 
 
 def buckets_of(texts: DataFrame, tag: Column) -> DataFrame:

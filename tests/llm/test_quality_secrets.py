@@ -232,6 +232,30 @@ def test_all_trusted_documents_set_the_threshold(spark, monkeypatch):
     assert seen[0] == sorted(scores)
 
 
+def test_too_many_trusted_ids_shuffle_no_texts(spark, monkeypatch):
+    """Ids of a broadcast, of bitmaps and of a shuffle give the same rows; only far or other ids shuffle texts."""
+    rng = random.Random(6)
+    ids = [*range(-40, 400), -2**63, 2**63 - 1, 32767, 32768, 32769, 65536, 65537, -32767, -32768, -32769, -32770]
+    ids += [rng.randrange(-10**5, 10**5) for _ in range(300)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in sorted(set(ids)) if i % 3], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate([*ids, None, *(i + 1 for i in ids[:300])])],
+                                 "doc_id long, text string")
+    monkeypatch.setattr(quality, "MAX_BITMAPS", 20)
+    small = "doc_id > -2000000000 AND doc_id < 2000000000"
+    for kinds, bitmaps in [(("long", "long"), 20), (("int", "long"), 20), (("long", "int"), 20), (("long", "long"), 3), (("string", "string"), 20)]:
+        given, marks = (df.filter(f"doc_id IS NULL OR {small}" if "int" in kinds else "true").withColumn("doc_id", F.col("doc_id").cast(kind))
+                        for df, kind in zip((docs, labels), kinds, strict=True))
+        trusted, found = quality.trusted_ids(marks), []
+        for most in (10**6, 100):
+            monkeypatch.setattr(config, "MAX_BROADCAST_ROWS", most)
+            monkeypatch.setattr(quality, "MAX_BITMAPS", bitmaps)
+            found.append(quality.with_trust(given, trusted, "doc_id", "text"))
+        assert sorted(map(repr, found[0].collect())) == sorted(map(repr, found[1].collect()))
+        assert found[1].filter("fold IS NOT NULL").count() > 300
+        plan = found[1]._jdf.queryExecution().optimizedPlan().toString()
+        assert ("bits" in plan) == (bitmaps > 3 and "string" not in kinds)
+
+
 def test_one_trusted_document_sets_no_threshold(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(25))) for i in range(5)], "doc_id long, text string")
     labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
