@@ -192,20 +192,30 @@ def fold_scores(texts: DataFrame, weights: list[int]) -> DataFrame:
         words_of(F.lower(F.col("__text"))), lambda word: F.xxhash64(word)).alias("low"))
     # The rows are dropped after they are written: pushed below the join, a condition on the words
     # would split all texts.
-    scores = low.select(F.when(F.size("low") >= MIN_WORDS, mean_ratio(
-        "low", flat, F.col("fold") * BUCKETS)).alias("score"))
+    scores = with_weights(low, flat).select(F.when(F.size("low") >= MIN_WORDS, mean_ratio(
+        "low", "__weights", F.col("fold") * BUCKETS)).alias("score"))
     return cut_lineage(scores).filter("score IS NOT NULL")
 
 
-def mean_ratio(hashes: str, weights: list[int], start: Column | None = None) -> Column:
+def with_weights(rows: DataFrame, weights: list[int]) -> DataFrame:
+    """`rows` and the weights in `__weights`, by a scalar subquery: a literal would stand in the text of
+    every plan, megabytes that the driver writes and keeps."""
+    table = rows.sparkSession.createDataFrame([(weights,)], "weights array<bigint>")
+    return rows.withColumn("__weights", table.scalar())
+
+
+def mean_ratio(hashes: str, weights: list[int] | str, start: Column | None = None) -> Column:
     """Mean weight of a row's words and pairs, given as a column of word hashes, in whole
-    millionths; null without words. Bucket 0 stands at `start` of the weights."""
+    millionths; null without words. Bucket 0 stands at `start` of the weights, a list or a column.
+    """
     start = F.lit(0) if start is None else start
-    table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
-    after = F.slice(hashes, F.lit(2), F.greatest(F.size(hashes) - 1, F.lit(0)))
-    each = F.zip_with(hashes, after, lambda a, b: F.get(table, start + single_bucket(a)) + F.when(
-        b.isNotNull(), F.get(table, start + pair_bucket(a, b))).otherwise(0))
-    total = F.aggregate(each, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    table = F.col(weights) if isinstance(weights, str) else F.split(
+        F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
+    pairs = F.greatest(F.size(hashes) - 1, F.lit(0))
+    buckets = F.concat(F.transform(hashes, single_bucket), F.zip_with(
+        F.slice(hashes, F.lit(1), pairs), F.slice(hashes, F.lit(2), pairs), pair_bucket))
+    # Looked up at one place only: a subquery used at two would be copied into each row.
+    total = F.aggregate(buckets, F.lit(0).cast("long"), lambda acc, bucket: acc + F.get(table, start + bucket))
     return F.when(F.size(hashes) > 0, F.floor(total / (2 * F.size(hashes) - 1)).cast("long"))
 
 
@@ -214,7 +224,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Da
     texts = with_trust(docs, cut_lineage(trusted_ids(labels)), id_col, text_col)
     weights = fit_weights(texts)
     low = quantile_values(fold_scores(texts, weights), ["score"], [CUT_SHARE])["score"][0]
-    rows = counted(docs, text_col).withColumn("score", mean_ratio("__low", weights)).drop("__low")
+    rows = with_weights(counted(docs, text_col), weights).withColumn(
+        "score", mean_ratio("__low", "__weights")).drop("__low", "__weights")
     passed = F.lit(True) if low is None else F.col("score") >= math.floor(low - CUT_MARGIN * SCALE)
     return rows.withColumn("kept", ~F.col("base_failed") & passed & (F.col("__at") >= 0))
 

@@ -260,3 +260,18 @@ def test_one_trusted_document_sets_no_threshold(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(25))) for i in range(5)], "doc_id long, text string")
     labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
     assert all(r["kept"] for r in quality.quality_rules(docs, labels).collect())
+
+
+def test_weights_stand_in_no_plan(spark, monkeypatch, capsys):
+    """The driver writes and keeps the text of each plan, so the tables of weights are not part of it."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(3_000)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=40))) for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    plans, cut = [], quality.cut_lineage
+    monkeypatch.setattr(quality, "cut_lineage", lambda df: plans.append(df) or cut(df))
+    plans += [quality.quality_rules(docs, labels), quality.keep_good(docs, labels)]
+    assert sum("score" in df.columns for df in plans) == 3
+    for df in plans:
+        df.explain(True)
+        assert len(capsys.readouterr().out) < 100_000
